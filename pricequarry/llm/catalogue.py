@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricequarry.llm import linkage
+from pricequarry.llm import leakage, linkage, packing, quantiles, reading
 from pricequarry.session import table
 
+GROUP = ["snapshot_date", "billing_code", "rate_unit"]
+RANKS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999)
+
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of registry and TIN keys of the same organisation or sole practitioner."""
@@ -20,5 +23,64 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.key_pairs(linkage.linked_keys(names, individuals))
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
-SQL: dict[str, str] = {}
+def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of negotiated_rate per billing_code and rate_unit, for each snapshot_date and for all combined ('*')."""
+    daily = quantiles.sketches(table(spark, sf_dir, "rates_npi_dedup"), GROUP, "negotiated_rate")
+    units = quantiles.combine(daily, GROUP, ["rate_unit"])
+    every = daily.unionByName(units)
+    days = quantiles.combine(every, GROUP, ["snapshot_date"])
+    return quantiles.percentiles(every.unionByName(days), GROUP, RANKS)
+
+
+def p7_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each group and percentile whether the estimate's exact rank keeps within three standard deviations."""
+    src = table(spark, sf_dir, "rates_npi_dedup").filter("negotiated_rate is not null and not isnan(negotiated_rate)")
+    est = quantiles.percentiles(quantiles.sketches(src, GROUP, "negotiated_rate"), GROUP, RANKS)
+    est = est.withColumn("slack", F.least((1 - F.col("q")) * (3 * quantiles.RELATIVE / 32), F.lit(3 * quantiles.ABSOLUTE / 32)) + 1 / F.col("n"))
+    lists = est.groupBy(*GROUP).agg(F.first("n").alias("n"), F.collect_list(F.struct("q", "value", "slack")).alias("e"))
+    keys = [F.col(c).cast("string").alias(c) for c in GROUP]
+    same = lambda c: F.col(f"s.{c}").eqNullSafe(F.col(f"l.{c}"))
+    counted = src.groupBy(*keys, F.col("negotiated_rate").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    met = counted.alias("s").join(lists.alias("l"), [same(c) for c in GROUP]).select(*[f"l.{c}" for c in GROUP], "l.n", "s.v", "s.c", F.explode("l.e").alias("x"))
+    below, upto = F.sum(F.when(F.col("v") < F.col("x.value"), F.col("c")).otherwise(0)), F.sum(F.when(F.col("v") <= F.col("x.value"), F.col("c")).otherwise(0))
+    rank = met.groupBy(*GROUP, "n", "x").agg(below.alias("below"), upto.alias("upto"))
+    ok = (F.col("below") <= (F.col("x.q") + F.col("x.slack")) * F.col("n")) & (F.col("upto") >= (F.col("x.q") - F.col("x.slack")) * F.col("n"))
+    return rank.select(*GROUP, F.col("n").alias("n_values"), F.col("x.q").alias("q"), ok.alias("within_bound"))
+
+
+def p8_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document or piece of one."""
+    return packing.packing_plan(table(spark, sf_dir, "documents"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.fill(packing.packing_plan(table(spark, sf_dir, "documents")))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of an evaluation item's passage."""
+    found = leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id")
+
+
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are left when those with leaked passages are removed."""
+    documents = table(spark, sf_dir, "documents")
+    return leakage.without_leaks(documents, leakage.find_leaks(documents, table(spark, sf_dir, "eval_items"))).select("doc_id", "lang", "n_chars")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading level of every English page with enough prose."""
+    documents = table(spark, sf_dir, "documents")
+    model = reading.train(documents, table(spark, sf_dir, "reading_labels"))
+    return reading.reading_levels(documents, model).select("doc_id", "band")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p7_percentiles, p7_within_bound, p8_plan, p8_fill, p9_found, p9_clean, p10_found)}
+SQL: dict[str, str] = {
+    "p7_within_bound": f"""
+select strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, billing_code, rate_unit, n_values, q, true as within_bound
+from (select snapshot_date, billing_code, rate_unit, count(*) as n_values from rates_npi_dedup where negotiated_rate is not null group by 1, 2, 3)
+cross join (select unnest([{", ".join(map(str, RANKS))}]::double[]) as q)"""
+}
