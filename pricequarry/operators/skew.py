@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
+
 KEY = "key_value"
 
 
@@ -26,6 +28,7 @@ def heavy_hitters(df: DataFrame, fields: Sequence[str], share: float, tracked: i
     """
     if not 7.0 / tracked < share <= 1:
         raise ValueError("the sketch must resolve the share: 7 / tracked < share <= 1")
+    df = exact(df, fields)
     k = math.ceil(2 / share)
     aggs = [F.count(F.lit(1)).alias("n_all")]
     for x in fields:
@@ -78,6 +81,7 @@ def skewed_key_stats(
     count in n_rows only; a key without any value has null statistics; repeated rows count as often as they stand. NaN
     values count as null. Salting is by a hash of ``distinct`` (else of the value), so that partial results are reproducible.
     """
+    df = exact(df, [*fields, value, distinct])
     heavy = heavy_hitters(df, fields, heavy_share, tracked)
     out = []
     for x in fields:

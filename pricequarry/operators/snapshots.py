@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
+
 CONTAINER = 1 << 16
 SPARSE = 4096
 
@@ -83,7 +85,7 @@ def _container_changes(tolerance: float):
                 out.append((before[0].and_not(present), seq, "removed"))
                 common = present.both(before[0])
                 x, y = before[1][common], vector[common]
-                differ = (np.isnan(x) != np.isnan(y)) | (np.abs(x - y) >= tolerance - 1e-9)
+                differ = (np.isnan(x) != np.isnan(y)) | (np.abs(x - y) >= tolerance - 1e-10)
                 out.append((common[differ], seq, "changed"))
             before = (present, vector)
         frames = [
@@ -122,6 +124,7 @@ def snapshot_changes(
     is empty or has a single date gives no row. ``shards``: by default one per shuffle partition, each numbered on its own.
     """
     spark = df.sparkSession
+    df = exact(df, [snapshot, *keys, value, loaded])
     shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ks = [f"k{i}" for i in range(len(keys))]
     # all snapshots of a key side by side: one row a key, which is also what numbers the keys

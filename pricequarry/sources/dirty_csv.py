@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricequarry.functions.columns import exact
+
 CORRUPT = "_corrupt_record"
 NUL = "\uffff"  # a noncharacter, stands for NUL inside the reader
 
@@ -94,18 +96,20 @@ def classified(df: DataFrame, line: str, kind: str, fields: Sequence[Field]) ->
 
 def rejected(df: DataFrame, id_col: str = "line_id", line: str = "line", kind_col: str = "record_kind") -> DataFrame:
     """(id, reason) of every record that can't be loaded. A record kind that isn't known is rejected as 'unknown_kind'."""
+    df = exact(df, [id_col, line, kind_col]).toDF("_id", "_line", "_kind")
     out = None
     for kind, fields in KINDS.items():
-        bad = classified(df.filter(F.col(kind_col) == kind), line, kind, fields).filter("reason is not null").select(id_col, "reason")
+        bad = classified(df.filter(F.col("_kind") == kind), "_line", kind, fields).filter("reason is not null").select(F.col("_id").alias(id_col), "reason")
         out = bad if out is None else out.unionByName(bad)
-    other = df.filter(~F.coalesce(F.col(kind_col), F.lit("")).isin(*KINDS)).select(id_col, F.lit("unknown_kind").alias("reason"))
+    other = df.filter(~F.coalesce(F.col("_kind"), F.lit("")).isin(*KINDS)).select(F.col("_id").alias(id_col), F.lit("unknown_kind").alias("reason"))
     return out.unionByName(other)
 
 
 def loaded(df: DataFrame, kind: str, id_col: str = "line_id", line: str = "line", kind_col: str = "record_kind") -> DataFrame:
     """The valid records of a kind under its schema: text columns, empty fields as null, nppes.npi without blanks."""
     fields = KINDS[kind]
-    ok = classified(df.filter(F.col(kind_col) == kind), line, kind, fields).filter("reason is null")
+    df = exact(df, [id_col, line, kind_col]).toDF("_id", "_line", "_kind")
+    ok = classified(df.filter(F.col("_kind") == kind), "_line", kind, fields).filter("reason is null")
     cols = [F.nullif(F.translate(f"row.{f.name}", NUL, "\x00"), F.lit("")).alias(f.name) for f in fields]
-    out = ok.select(id_col, *cols)
+    out = ok.select(F.col("_id").alias(id_col), *cols)
     return out.withColumn("npi", F.trim("npi")) if kind == "nppes" else out

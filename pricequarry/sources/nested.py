@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+from pricequarry.functions.columns import exact
+
+
 class Number(str):
     """The text of a JSON number, as it stands in the source."""
 
@@ -33,6 +36,11 @@ def parse(text: str | None) -> object:
         return None
 
 
+def listed_at(v: object) -> list:
+    """A list as it is, null as an empty one, any other value as a list of one."""
+    return v if isinstance(v, list) else [] if v is None else [v]
+
+
 @dataclass(frozen=True)
 class Repeated:
     """A repeated path below a record: its kind, whether its elements are objects, what to read as key."""
@@ -57,8 +65,7 @@ def triples(root: object, repeated: Mapping[str, Repeated], path: str = "") -> I
         at, ordinals, leaf, v = stack.pop()
         full = f"{at}.{leaf}" if leaf and at else leaf or at
         if (rule := repeated.get(full)) is not None and (leaf or at == path == full):
-            items = v if isinstance(v, list) else [] if v is None else [v]
-            for n, x in reversed(list(enumerate(items))):
+            for n, x in reversed(list(enumerate(listed_at(v)))):
                 if x is None or isinstance(x, dict) != rule.objects or (not rule.objects and isinstance(x, list)):
                     continue
                 here = (*ordinals, n)
@@ -104,6 +111,7 @@ def flatten(df: DataFrame, ids: Sequence[str], column: str, path: str, repeated:
     record that stands twice gives its rows twice. Number text is kept as it stands.
     """
     names = [f"id{n}" for n in range(len(ids))]
+    df = exact(df, [*ids, column])
     src = df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(ids, names, strict=True)], F.col(f"`{column}`").alias("body"))
     schema = pa.schema([*[pa.field(n, pa.string()) for n in names], *list(OUT)[1:]])
 
@@ -164,6 +172,7 @@ def parent_path() -> F.Column:
 
 def group_npis(provider_references: DataFrame) -> DataFrame:
     """One row per NPI of provider_references.provider_groups: null groups and NPIs give no row but keep their position."""
+    provider_references = exact(provider_references, ["file_id", "m", "provider_group_id", "provider_groups"])
     groups = provider_references.select("file_id", "m", "provider_group_id", F.posexplode("provider_groups").alias("n", "g"))
     npis = groups.select("file_id", "m", "n", "provider_group_id", F.col("g.tin").alias("tin"), F.posexplode("g.npi").alias("p", "key")).filter("key is not null")
     path = F.format_string("provider_references[%s].provider_groups[%d].npi[%d]", F.coalesce(F.col("m").cast("string"), F.lit("")), "n", "p")
