@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
+
 SEED = 4
 CHANGED = 2  # words that may differ between two matches of a stretch
 WITHIN = 12  # words that may lie between two matches of a stretch, if most of them are the same
@@ -232,9 +234,11 @@ def find_leaks(
     Items are taken in blocks of ``block_words`` words, each compared with all documents. Null and empty texts and passages
     hold nothing; passages of fewer than four words can't be found; repeated documents and items each give their rows.
     """
+    documents = exact(documents, [doc_id, text]).toDF("_id", "_text").select(F.col("_id").cast("long"), "_text").filter("_text is not null")
+    items = exact(items, [item_id, passage]).toDF("_id", "_passage").select(F.col("_id").cast("long"), "_passage").filter("_passage is not null")
     blocks: list[list[tuple[int, str]]] = [[]]
     filled = 0
-    for i, p in items.select(F.col(item_id).cast("long"), passage).filter(F.col(passage).isNotNull()).toLocalIterator():
+    for i, p in items.toLocalIterator():
         n = p.count(" ") + 1
         if blocks[-1] and (filled + n > block_words or filled + n > 60_000 > filled):
             blocks.append([])
@@ -267,7 +271,7 @@ def find_leaks(
                         ids, words, n = [], [], 0
             yield found(ids, words)
 
-        part = documents.select(F.col(doc_id).cast("long"), F.col(text)).filter(F.col(text).isNotNull()).mapInArrow(run, "doc_id long, item_id long, n_words int, n_held int, longest int")
+        part = documents.mapInArrow(run, "doc_id long, item_id long, n_words int, n_held int, longest int")
         out = part if out is None else out.unionByName(part)
     return out
 

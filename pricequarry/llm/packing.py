@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
+
 
 class Bins:
     """Open containers by free space. ``place`` gives (container, offset)."""
@@ -106,7 +108,8 @@ def packing_plan(
                         rows.append((base + container, i, p, start, size, offset))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return documents.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, "container_id long, doc_id long, piece int, token_start long, n_tokens int, offset int")
+    rows = exact(documents, [doc_id, text]).toDF("_id", "_text").select(F.col("_id").cast("long"), "_text")
+    return rows.mapInArrow(run, "container_id long, doc_id long, piece int, token_start long, n_tokens int, offset int")
 
 
 def fill(plan: DataFrame, capacity: int = 2048) -> DataFrame:

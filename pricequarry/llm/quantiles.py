@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
+
 # Fixed values of the published analysis of relative compactors: sections at the start, and the standard deviation of a rank
 # as a share of n, relative (times the distance to the protected tail) and at most.
 SECTIONS = 3
@@ -203,8 +205,11 @@ def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 32, high: bool = True, most_groups: int = 20_000) -> DataFrame:
     """(keys..., sketch): one sketch of the non-null, non-NaN values per group; null keys are a group; an empty table has none."""
-    src = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keys], F.col(f"`{value}`").cast("double").alias("v"), F.spark_partition_id().cast("long").alias("task"))
-    src = src.filter("v is not null and not isnan(v)")
+    if {"task", "sketch"} & set(keys):
+        raise ValueError("keys can't be named task or sketch")
+    df = exact(df, [*keys, value])
+    src = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keys], F.col(f"`{value}`").cast("double").alias("_v"), F.spark_partition_id().cast("long").alias("_task"))
+    src = src.filter("_v is not null and not isnan(_v)")
     parts = max(1, df.rdd.getNumPartitions())
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +228,7 @@ def sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 32, high:
             code = pdf.groupby(list(keys), dropna=False, sort=False).ngroup().to_numpy() if keys else np.zeros(len(pdf), int)
             order = np.argsort(code, kind="stable")
             bounds = np.flatnonzero(np.r_[True, np.diff(code[order]) > 0, True])
-            values = pdf["v"].to_numpy(np.float64)[order]
+            values = pdf["_v"].to_numpy(np.float64)[order]
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 row = pdf.iloc[order[a]]
                 g = tuple(None if pd.isna(row[c]) else row[c] for c in keys)
