@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import distinct_names, exact
+from pricequarry.session import cut
 from pricequarry.sources.nested import Number, as_text, parse
 
 GROUP = ["feed", "record_kind"]
@@ -50,6 +52,7 @@ def record_fields(df: DataFrame, body: str = "body", keys: Sequence[Sequence[str
     rec_key: the values of the first of ``keys`` of which the record has any, else null. Null, malformed or non-object bodies
     give no rows. A field name that stands twice in an object has its last value.
     """
+    df = exact(df, [*FILE, body])
     ids = [F.col(c).cast("string").alias(c) for c in FILE]
     names = [*FILE, "rec_key", "field", "type", "value"]
     schema = pa.schema([pa.field(n, pa.string()) for n in names])
@@ -85,9 +88,31 @@ def file_order(df: DataFrame) -> DataFrame:
     return files.select(*FILE, F.row_number().over(w).alias("seq"), F.lead("file_id").over(w).alias("next_file"))
 
 
-def headers(fields: DataFrame) -> DataFrame:
-    """Per file and field the sorted set of JSON types of its non-null values (empty: only nulls)."""
-    return fields.groupBy(*FILE, "field").agg(F.array_sort(F.collect_set("type")).alias("types"))
+def headers(df: DataFrame, body: str = "body") -> DataFrame:
+    """Per file and field the sorted set of JSON types of its non-null values (empty: only nulls).
+
+    Tasks reduce their records to one row per file and field before anything is shuffled.
+    """
+    ids = [F.col(c).cast("string").alias(c) for c in FILE]
+    schema = pa.schema([*[pa.field(n, pa.string()) for n in (*FILE, "field")], pa.field("types", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[tuple, dict[str, set[str]]] = {}
+            for *own, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                record = parse(text)
+                if isinstance(record, dict):
+                    fields = seen.setdefault(tuple(own), {})
+                    for field, v in leaves(record):
+                        types = fields.setdefault(field, set())
+                        if v is not None:
+                            types.add(json_type(v))
+            rows = [(*own, field, sorted(types)) for own, fields in seen.items() for field, types in fields.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+    ddl = ", ".join(f"{n} string" for n in (*FILE, "field")) + ", types array<string>"
+    parts = df.select(*ids, F.col(body)).mapInArrow(run, ddl)
+    return parts.groupBy(*FILE, "field").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"))
 
 
 def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_least: int = 2) -> DataFrame:
@@ -98,10 +123,10 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
     ``agree`` is equal; among rivals for a name the one with most equal values wins. The first file of a feed has no changes.
     Repeated records count once; late files stand where their date puts them.
     """
-    fields = record_fields(df, body)
+    df = exact(df, [*FILE, body])
     files = file_order(df)
     null_safe = lambda a, b: a.eqNullSafe(b)
-    head = headers(fields).alias("h").join(files.alias("f"), [null_safe(F.col(f"h.{c}"), F.col(f"f.{c}")) for c in FILE]).select("h.*", "seq", "next_file")
+    head = headers(df, body).alias("h").join(files.alias("f"), [null_safe(F.col(f"h.{c}"), F.col(f"f.{c}")) for c in FILE]).select("h.*", "seq", "next_file")
     w = Window.partitionBy(*GROUP, "field").orderBy("seq")
     known = F.when(F.size("types") > 0, F.col("types"))
     head = (
@@ -109,6 +134,7 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
         .withColumn("after", F.lead("seq").over(w))
         .withColumn("types_before", F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     )
+    head = cut(head)  # one row per file and field: small, and read by all that follows
     added = head.filter((F.col("seq") > 1) & (F.coalesce(F.col("before"), F.lit(0)) < F.col("seq") - 1))
     added = added.select(*GROUP, "file_id", F.col("field").alias("new_field"), "seq")
     removed = head.filter(F.col("next_file").isNotNull() & (F.coalesce(F.col("after"), F.lit(0)) != F.col("seq") + 1))
@@ -120,18 +146,23 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
     both = [*GROUP, "file_id"]
     losing = removed.join(added.select(*both).distinct(), both, "left_semi")
     gaining = added.join(removed.select(*both).distinct(), both, "left_semi")
-    values = fields.filter("value is not null and rec_key is not null").select(*GROUP, "file_id", "rec_key", "field", "value")
-    old = values.withColumnRenamed("file_id", "last_file").withColumnRenamed("field", "old_field").join(losing, [*GROUP, "last_file", "old_field"])
-    old = old.select(*both, "rec_key", "old_field", F.col("value").alias("x")).distinct()
-    new = values.withColumnRenamed("field", "new_field").join(gaining, [*both, "new_field"])
-    new = new.select(*both, "rec_key", "new_field", F.col("value").alias("y")).distinct()
-    pairs = old.join(new, [*both, "rec_key"]).groupBy(*both, "old_field", "new_field")
+    asked = losing.select(*both, F.col("last_file").alias("in_file"), F.col("old_field").alias("field"), F.lit(True).alias("is_old"))
+    asked = asked.unionByName(gaining.select(*both, F.col("file_id").alias("in_file"), F.col("new_field").alias("field"), F.lit(False).alias("is_old")))
+    values = record_fields(df, body).filter("value is not null and rec_key is not null")
+    values = values.select(*GROUP, F.col("file_id").alias("in_file"), "rec_key", "field", "value")
+    hits = values.join(asked, [*GROUP, "in_file", "field"]).select(*both, "rec_key", "is_old", "field", "value").distinct()
+    side = lambda old: F.collect_list(F.when(F.col("is_old") == old, F.struct("field", "value")))
+    # one row per record: its lists are as long as the fields in question
+    met = hits.groupBy(*both, "rec_key").agg(side(True).alias("old"), side(False).alias("new"))
+    met = met.select(*both, F.explode("old").alias("o"), "new").select(*both, "o", F.explode("new").alias("n"))
+    met = met.select(*both, F.col("o.field").alias("old_field"), F.col("n.field").alias("new_field"), F.col("o.value").alias("x"), F.col("n.value").alias("y"))
+    pairs = met.groupBy(*both, "old_field", "new_field")
     pairs = pairs.agg(F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("x") == F.col("y")).alias("n_same"))
     pairs = pairs.filter((F.col("n_same") >= at_least) & (F.col("n_same") >= agree * F.col("n_both")))
     for side in ("old_field", "new_field"):
         best = Window.partitionBy(*both, side).orderBy(F.desc("n_same"), "old_field", "new_field")
         pairs = pairs.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place")
-    renamed = pairs.select(*both, F.lit("renamed").alias("change"), "old_field", "new_field")
+    renamed = cut(pairs.select(*both, F.lit("renamed").alias("change"), "old_field", "new_field"))
 
     plus = added.join(renamed.drop("old_field", "change"), [*both, "new_field"], "left_anti")
     minus = removed.join(renamed.drop("new_field", "change"), [*both, "old_field"], "left_anti")
@@ -164,7 +195,7 @@ def unified(df: DataFrame, kind: str, body: str = "body", renames: DataFrame | N
     ``schema_changes``) fields that were renamed into each other form one column, under the name with most values, first
     non-null value. Only the names of fields come to the driver; more than ``max_fields`` raises. Repeated records stay.
     """
-    mine = df.filter(F.col("record_kind") == kind)
+    mine = distinct_names(df).filter(F.col("record_kind") == kind)
     found = field_types(mine, body).limit(max_fields + 1).collect()
     if len(found) > max_fields:
         raise ValueError(f"more than {max_fields} different fields: the drift log, not a wide table, is the answer here")
@@ -201,14 +232,18 @@ def unified(df: DataFrame, kind: str, body: str = "body", renames: DataFrame | N
                     if v is not None and (c := owner[field]) not in doc:
                         doc[c] = as_text(v if isinstance(v, list) or schema[c] != "array<string>" else [v])
                 docs.append(list(doc.items()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in range(len(own))], pa.array(docs, fmt.field("doc").type)], names=[*own, "doc"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in range(len(own))], pa.array(docs, fmt.field("doc").type)], names=[*own, "_doc"])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mine.schema if f.name != body) + ", doc map<string,string>"
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mine.schema if f.name != body) + ", _doc map<string,string>"
     wide = mine.select(*own, body).mapInArrow(run, ddl)
     cols = []
+    taken = {c.lower() for c in own}
     for c, kind_of in schema.items():
-        v = F.col("doc")[c]
+        v = F.col("_doc")[c]
         v = F.from_json(v, "array<string>") if kind_of == "array<string>" else v.try_cast(kind_of)
         name = c.replace(".", "__")
-        cols.append(v.alias(f"{name}_field" if name in own else name))
+        while name.lower() in taken:  # another column or a field that differs in case only
+            name += "_field"
+        taken.add(name.lower())
+        cols.append(v.alias(name))
     return wide.select(*own, *cols)
