@@ -88,12 +88,17 @@ def _container_changes(tolerance: float):
                 differ = (np.isnan(x) != np.isnan(y)) | (np.abs(x - y) >= tolerance - 1e-10)
                 out.append((common[differ], seq, "changed"))
             before = (present, vector)
-        frames = [
-            pd.DataFrame({"shard": shard, "ordinal": container * CONTAINER + low.astype(np.int64), "seq": seq, "change": what})
-            for low, seq, what in out
-            if len(low) and seq > 1
-        ]
-        return pd.concat(frames) if frames else pd.DataFrame({"shard": [], "ordinal": [], "seq": [], "change": []})
+        out = [x for x in out if len(x[0]) and x[1] > 1]
+        n = [len(low) for low, _, _ in out]
+        low = np.concatenate([low for low, _, _ in out]) if out else np.empty(0)
+        return pd.DataFrame(
+            {
+                "shard": np.full(sum(n), shard, np.int32),
+                "ordinal": container * CONTAINER + low.astype(np.int64),
+                "seq": np.repeat(np.array([s for _, s, _ in out], np.int32), n),
+                "change": pd.Series(np.repeat(np.array([c for _, _, c in out], object), n), dtype=object),
+            }
+        )
 
     return changes
 
