@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricequarry.functions.columns import exact
 from pricequarry.llm.prose import prose, sentences
+from pricequarry.session import cut
 
 LEVELS = (1, 2, 3, 4)
 LONGEST = 40.0  # words a sentence counts for at most
@@ -38,14 +40,15 @@ class Page:
 @dataclass
 class Model:
     levels: Mapping[str, int] = field(default_factory=dict)  # of listed words
-    log_odds: Mapping[str, np.ndarray] = field(default_factory=dict)  # first guess: log share of pages with the word, by level
+    rows: Mapping[str, int] = field(default_factory=dict)  # of the first guess: where in log_odds a word is
+    log_odds: np.ndarray | None = None  # log share of pages with the word, by level
     coefficients: np.ndarray | None = None
     cuts: tuple[float, ...] = (1.5, 2.5, 3.5)
 
     def guess(self, page: Page) -> int:
         """Naive Bayes over the words that the labelled pages have."""
-        known = [v for w in set(page.words) if (v := self.log_odds.get(w)) is not None]
-        return LEVELS[int(np.argmax(np.sum(known, axis=0)))] if known else 0
+        known = [v for w in set(page.words) if (v := self.rows.get(w)) is not None]
+        return LEVELS[int(np.argmax(self.log_odds[known].sum(axis=0)))] if known else 0
 
     def features(self, page: Page) -> np.ndarray:
         n = np.bincount([v for w in page.words if (v := self.levels.get(w))], minlength=5)[1:5]
@@ -55,8 +58,8 @@ class Model:
     def score(self, page: Page) -> float:
         return float(self.features(page) @ self.coefficients)
 
-    def band(self, page: Page) -> int:
-        return 1 + sum(self.score(page) >= c for c in self.cuts)
+    def band(self, score: float) -> int:
+        return 1 + sum(score >= c for c in self.cuts)
 
 
 def first_guess(pages: list[tuple[Page, int]]) -> Model:
@@ -66,7 +69,8 @@ def first_guess(pages: list[tuple[Page, int]]) -> Model:
         for w in set(page.words):
             df.setdefault(w, np.zeros(4))[band - 1] += 1
     size = np.array([n[b] for b in LEVELS], float)
-    return Model(log_odds={w: np.log((c + 0.1) / (size + 0.2)) for w, c in df.items()})
+    table = np.log((np.array(list(df.values())) + 0.1) / (size + 0.2))
+    return Model(rows={w: n for n, w in enumerate(df)}, log_odds=table)
 
 
 def graded(df: Mapping[str, np.ndarray], size: np.ndarray, frequent: float = 0.25, least: float = 0.001) -> dict[str, int]:
@@ -128,17 +132,20 @@ def train(
     least_words: int = 60, most_labels: int = 20_000,
 ) -> Model:
     """The model from all pages and at most ``most_labels`` labelled ones (those of least doc_id; repeated labels: the median)."""
-    given = labels.filter(F.col(band).between(1, 4)).groupBy(F.col(doc_id).alias("k")).agg(F.floor(F.median(band) + 0.5).cast("int").alias("b"))
-    given = given.orderBy("k").limit(most_labels)
-    rows = _pages(documents, text, lang, language).join(given, F.col(doc_id) == F.col("k")).select("b", F.col(text).alias("t"))
+    documents, labels = exact(documents, [doc_id, text, lang]), exact(labels, [doc_id, band])
+    given = labels.filter(F.col(band).between(1, 4)).groupBy(F.col(doc_id).cast("long").alias("k")).agg(F.floor(F.median(band) + 0.5).cast("int").alias("b"))
+    bands = {r.k: r.b for r in given.orderBy("k").limit(most_labels).collect()}
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages = [Page.of(t) for t in batch.column(1).to_pylist()]
+            keep = [(b, t) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) if (b := bands.get(i))]
+            pages = [Page.of(t.as_py()) for _, t in keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([" ".join(p.words) for p in pages]), pa.array([p.n_sentences for p in pages], pa.int32())], names=["b", "words", "n"]
+                [pa.array([b for b, _ in keep], pa.int32()), pa.array([" ".join(p.words) for p in pages], pa.string()), pa.array([p.n_sentences for p in pages], pa.int32())],
+                names=["b", "words", "n"],
             )
 
+    rows = _pages(documents, text, lang, language).select(F.col(doc_id).cast("long"), F.col(text))
     sample = [(Page(r.words.split(), r.n), r.b) for r in rows.mapInArrow(words_of, "b int, words string, n int").collect()]
     sample = [(p, b) for p, b in sample if len(p.words) >= least_words]
     if not sample:
@@ -146,28 +153,27 @@ def train(
     guess = first_guess(sample)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df: dict[str, np.ndarray] = {}
-        n = np.zeros(4)
+        df: list[Counter[str]] = [Counter() for _ in LEVELS]
+        n = [0] * 4
 
         def partial() -> pa.RecordBatch:
-            words = [None, *df]
-            c = np.array([n, *df.values()], np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *[pa.array(c[:, i]) for i in range(4)]], names=["w", "c1", "c2", "c3", "c4"])
+            words = sorted(set().union(*df))
+            cols = [pa.array([n[i], *(df[i][w] for w in words)], pa.int64()) for i in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array([None, *words], pa.string()), *cols], names=["w", "c1", "c2", "c3", "c4"])
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 page = Page.of(t)
                 if len(page.words) >= least_words and (b := guess.guess(page)):
                     n[b - 1] += 1
-                    for w in set(page.words):
-                        df.setdefault(w, np.zeros(4))[b - 1] += 1
-            if len(df) > 200_000:
+                    df[b - 1].update(set(page.words))
+            if sum(map(len, df)) > 400_000:
                 yield partial()
-                df, n = {}, np.zeros(4)
+                df, n = [Counter() for _ in LEVELS], [0] * 4
         yield partial()
 
     found = _pages(documents, text, lang, language).select(text).mapInArrow(counts, "w string, c1 long, c2 long, c3 long, c4 long")
-    found = found.groupBy("w").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in LEVELS])
+    found = cut(found.groupBy("w").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in LEVELS]))
     total = found.filter("w is null").first()
     size = np.array([total[f"c{i}"] for i in LEVELS], float)
     often = found.filter(F.col("w").isNotNull() & (F.col("c1") + F.col("c2") + F.col("c3") + F.col("c4") >= max(3, 0.001 * size.sum())))
@@ -190,10 +196,12 @@ def reading_levels(
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 page = Page.of(t)
                 if len(page.words) >= least_words:
-                    for c, v in zip(out, (i, model.band(page), model.score(page), len(page.words), page.n_sentences), strict=True):
+                    score = model.score(page)
+                    for c, v in zip(out, (i, model.band(score), score, len(page.words), page.n_sentences), strict=True):
                         c.append(v)
             kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "band", "score", "n_words", "n_sentences"])
 
+    documents = exact(documents, [doc_id, text, lang])
     rows = _pages(documents, text, lang, language).select(F.col(doc_id).cast("long"), F.col(text))
     return rows.mapInArrow(run, "doc_id long, band int, score double, n_words int, n_sentences int")
