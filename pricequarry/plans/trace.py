@@ -52,7 +52,7 @@ def verified(rows: DataFrame, items: DataFrame, checks: dict[str, str]) -> DataF
     ``checks`` maps a stored column to the price's key. Rows whose item or place is gone have found null. Only items that
     rows point to are read.
     """
-    stored = F.map_from_arrays(F.array(*[F.lit(c) for c in checks]), F.array(*[F.col(c).cast("string") for c in checks]))
+    stored = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in checks])
     asked = rows.select("file_id", "i", "j", "k", stored.alias("stored")).distinct()
     both = asked.join(items.select("file_id", "i", "raw"), ["file_id", "i"], "left")
     schema = pa.schema([("file_id", pa.string()), ("i", pa.int64()), ("j", pa.int64()), ("k", pa.int64()), ("field", pa.string()), ("stored", pa.string()), ("found", pa.string()), ("matches", pa.bool_())])
@@ -62,7 +62,7 @@ def verified(rows: DataFrame, items: DataFrame, checks: dict[str, str]) -> DataF
             out = []
             for r in batch.to_pylist():
                 root = parse(r["raw"])
-                for field, value in r["stored"]:
+                for field, value in (s.values() for s in r["stored"]):
                     try:
                         found = as_text(resolve(root, [r["j"], "negotiated_prices", r["k"], checks[field]]))
                     except KeyError:

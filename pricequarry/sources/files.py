@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricequarry.functions.scalar import zero_padded
+from pricequarry.sources.dirty_csv import quoting
 
 
 def finished(root: str) -> list[str]:
@@ -104,13 +105,16 @@ def unpack_registry(path: str, folder: str, required: Iterable[str]) -> str:
 
 
 def registry_rows(spark: SparkSession, csv_path: str, wanted: DataFrame, key: str = "NPI") -> tuple[DataFrame, DataFrame]:
-    """(rows of the wanted ids, malformed rows). Rows of a wrong field count are read too, and told apart."""
+    """(rows of the wanted ids, lines of a wrong field count or broken quoting). Lines are split in parallel; they hold no breaks."""
     with open(csv_path, encoding="utf-8-sig") as f:
-        names = next(csv.reader(f))
-    schema = ", ".join(f"`{n}` string" for n in names) + ", _corrupt string"
-    t = spark.read.schema(schema).options(header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True).csv(csv_path)
-    good = t.filter("_corrupt is null").drop("_corrupt")
-    return good.join(wanted.select(F.col("npi").alias(key)).distinct(), key, "left_semi"), t.filter("_corrupt is not null").select("_corrupt")
+        header = f.readline().rstrip("\r\n")
+    names = next(csv.reader([header]))
+    lines = spark.read.text(csv_path).filter(F.ltrim(F.lit("\ufeff"), "value") != header)
+    whole, columns = quoting(F.col("value"))
+    lines = lines.withColumn("ok", whole & (columns == len(names)))
+    schema = ", ".join(f"`{n}` string" for n in names)
+    good = lines.filter("ok").select(F.from_csv("value", schema, {"quote": '"', "escape": '"', "emptyValue": ""}).alias("r")).select("r.*")
+    return good.join(wanted.select(F.col("npi").alias(key)).distinct(), key, "left_semi"), lines.filter("not ok").select("value")
 
 
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -125,9 +129,11 @@ def taxonomy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest(names: Iterable[str], pattern: str) -> str | None:
-    """The name whose numbers, as captured by the pattern, are greatest; months by name count as numbers."""
+    """The name whose numbers, as captured by the pattern, are greatest, years before all others; months by name count
+    as numbers."""
     months = {m: n for n, m in enumerate("January February March April May June July August September October November December".split(), 1)}
-    found = [(tuple(months.get(g, int(g) if g.isdigit() else 0) for g in m.groups()), x) for x in names if (m := re.search(pattern, x))]
+    numbers = lambda m: [months.get(g, int(g) if g.isdigit() else 0) for g in m.groups()]
+    found = [(sorted(numbers(m), key=lambda n: n < 1900), x) for x in names if (m := re.search(pattern, x))]
     return max(found)[1] if found else None
 
 

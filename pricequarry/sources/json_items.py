@@ -247,4 +247,5 @@ class ItemReader(DataSourceReader):
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(JsonItems)
