@@ -6,7 +6,6 @@ flattener, which keeps number text; everything after it is built-in expressions.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricequarry.functions.scalar import RATE_UNITS, rate_unit
-from pricequarry.sources.nested import Number, as_text, parse
+from pricequarry.sources.nested import Number, as_text, dump, parse
 from pricequarry.sources.nested import listed_at as listed
 
 # The keys known at each level of an item.
@@ -169,7 +168,7 @@ def capitation_items(items: DataFrame, codes: list[str], code_type: str) -> Data
 def canonical_json(text: str | None) -> str | None:
     """Sorted keys, no spaces, number text as it stands: equal values have equal text."""
     v = parse(text)
-    return None if v is None else as_text(v) if isinstance(v, str) else json.dumps(v, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return None if v is None else dump(v)
 
 
 def reference_groups(references: DataFrame) -> DataFrame:

@@ -155,6 +155,44 @@ union all select file_id, 'covered_service', format('in_network[{{}}].covered_se
 union all select file_id, 'npi', format('provider_references[{{}}].provider_groups[{{}}].npi[{{}}]', m, n, p), v from np where v is not null)
 """
 
+_FEED = """
+with rec as (select feed, record_kind, file_id, cast(file_date as varchar) as file_date, body::json as b from feed_rows where json_valid(body) and json_type(body::json) = 'OBJECT'),
+top as (select feed, record_kind, file_id, file_date, b, key, json_extract(b, '$."' || key || '"') as x from (select *, unnest(json_keys(b)) as key from rec)),
+sub as (select * from top where json_type(x) = 'OBJECT'),
+leaf as (
+  select feed, record_kind, file_id, file_date, b, key as field, x from top where json_type(x) <> 'OBJECT'
+  union all select feed, record_kind, file_id, file_date, b, key || '.' || k2, json_extract(x, '$."' || k2 || '"') from (select *, unnest(json_keys(x)) as k2 from sub)),
+typed as (
+  select *, case json_type(x) when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'NULL' then null else 'number' end as t,
+         case when json_type(x) = 'NULL' then null when json_type(x) = 'ARRAY' then x::varchar else x->>'$' end as v,
+         case when json_exists(b, '$.i') or json_exists(b, '$.j') then concat_ws('|', b->>'$.i', b->>'$.j', b->>'$.k', b->>'$.r') else b->>'$.row' end as rec_key
+  from leaf)"""
+_P2_FIELDS = f"""{_FEED}
+select record_kind, field, array_to_string(ts, ',') as types, case when list_contains(ts, 'array') then 'array<string>' when len(ts) <> 1 then 'string' when ts[1] = 'number' then 'double' when ts[1] = 'boolean' then 'boolean'
+       else 'string' end as promoted, n_files, n_values
+from (select record_kind, field, coalesce(list_sort(list(distinct t) filter (where t is not null)), []) as ts, count(distinct (feed, file_id)) as n_files, count(v) as n_values from typed group by 1, 2)"""
+_P2_FOUND = f"""{_FEED},
+file as (select *, row_number() over (partition by feed, record_kind order by file_date, file_id) as seq from (select distinct feed, record_kind, file_id, cast(file_date as varchar) as file_date from feed_rows)),
+h as (select feed, record_kind, seq, any_value(file_id) as file_id, field, list_sort(list(distinct t) filter (where t is not null)) as ts from typed join file using (feed, record_kind, file_id, file_date) group by feed, record_kind, seq, field),
+plus as (select feed, record_kind, seq, file_id, field from h a where seq > 1 and not exists (select 1 from h b where b.feed = a.feed and b.record_kind = a.record_kind and b.field = a.field and b.seq = a.seq - 1)),
+minus as (select a.feed, a.record_kind, f.seq, f.file_id, a.field from h a join file f on f.feed = a.feed and f.record_kind = a.record_kind and f.seq = a.seq + 1
+  where not exists (select 1 from h b where b.feed = a.feed and b.record_kind = a.record_kind and b.field = a.field and b.seq = a.seq + 1)),
+val as (select distinct feed, record_kind, seq, rec_key, field, v from typed join file using (feed, record_kind, file_id, file_date) where v is not null and rec_key is not null),
+pair as (
+  select p.feed, p.record_kind, p.seq, p.file_id, m.field as old_field, p.field as new_field, count(*) as n, count_if(x.v = y.v) as same
+  from plus p join minus m using (feed, record_kind, seq) join val x on x.feed = p.feed and x.record_kind = p.record_kind and x.seq = p.seq - 1 and x.field = m.field
+  join val y on y.feed = p.feed and y.record_kind = p.record_kind and y.seq = p.seq and y.field = p.field and y.rec_key = x.rec_key group by all having count_if(x.v = y.v) >= 2 and count_if(x.v = y.v) >= 0.9 * count(*)),
+one as (select * from pair qualify row_number() over (partition by feed, record_kind, seq, old_field order by same desc, old_field, new_field) = 1),
+ren as (select * from one qualify row_number() over (partition by feed, record_kind, seq, new_field order by same desc, old_field, new_field) = 1),
+prev as (select *, lag(ts) over (partition by feed, record_kind, field order by seq) as before from h where ts is not null)
+select file_id, 'added' as change, '' as old_field, field as new_field from plus p where not exists (select 1 from ren r where r.feed = p.feed and r.record_kind = p.record_kind and r.seq = p.seq and r.new_field = p.field)
+union all select file_id, 'removed', field, '' from minus m where not exists (select 1 from ren r where r.feed = m.feed and r.record_kind = m.record_kind and r.seq = m.seq and r.old_field = m.field)
+union all select file_id, 'renamed', old_field, new_field from ren
+union all select file_id, 'type_changed', field, '' from prev where before is not null and ts <> before"""
+_P3_PRICES = f"""{_P3} select distinct file_id, format('in_network[{{}}].negotiated_rates[{{}}].negotiated_prices[{{}}]', i, j, k) as child_path, format('in_network[{{}}].negotiated_rates[{{}}]', i, j) as parent_path,
+v->>'$.negotiated_type' as negotiated_type, v->>'$.negotiated_rate' as negotiated_rate, v->>'$.expiration_date' as expiration_date, v->>'$.billing_class' as billing_class, v->>'$.setting' as setting,
+v->>'$.service_code' as service_code, v->>'$.billing_code_modifier' as billing_code_modifier, v->>'$.additional_information' as additional_information from price where {_OBJ.format("v")}"""
+
 SQL = {
     "p1_found": """
 select key_field, key_value from (
@@ -167,7 +205,10 @@ select key_field, key_value, count(*) as n_rows, count(negotiated_rate) as n_rat
 from (select 'billing_code' as key_field, billing_code as key_value, negotiated_rate, npi from rates_npi
       union all select 'tin_value', tin_value, negotiated_rate, npi from rates_npi)
 where key_value is not null group by 1, 2""",
+    "p2_found": _P2_FOUND,
+    "p2_fields": _P2_FIELDS,
     "p3_found": _P3_FOUND,
+    "p3_prices": _P3_PRICES,
     "p5_found": """
 with last as (
   select cast(snapshot_date as date) as d, tin_value, npi, billing_code, billing_class, arg_max_null(negotiated_rate, (loaded_at, coalesce(negotiated_rate, -1e300))) as v

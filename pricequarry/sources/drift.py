@@ -12,6 +12,7 @@ both files (by key) carry their values on; only values of such fields are joined
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pricequarry.functions.columns import distinct_names, exact
 from pricequarry.session import cut
-from pricequarry.sources.nested import Number, as_text, parse
+from pricequarry.sources.nested import Number, as_text, listed_at, parse
 
 GROUP = ["feed", "record_kind"]
 FILE = [*GROUP, "file_date", "file_id"]
@@ -230,7 +231,7 @@ def unified(df: DataFrame, kind: str, body: str = "body", renames: DataFrame | N
                 doc: dict[str, str] = {}
                 for field, v in leaves(parse(text)):
                     if v is not None and (c := owner[field]) not in doc:
-                        doc[c] = as_text(v if isinstance(v, list) or schema[c] != "array<string>" else [v])
+                        doc[c] = json.dumps([as_text(x) for x in listed_at(v)]) if schema[c] == "array<string>" else as_text(v)
                 docs.append(list(doc.items()))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in range(len(own))], pa.array(docs, fmt.field("doc").type)], names=[*own, "_doc"])
 

@@ -50,6 +50,46 @@ class Repeated:
     key: str | None = None  # a field of the object; scalars are their own key
 
 
+def dump(v: object) -> str:
+    """JSON text with sorted keys and no spaces, numbers as they stood."""
+    if isinstance(v, Number):
+        return str(v)
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{dump(x)}" for k, x in sorted(v.items())) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(dump, v)) + "]"
+    return json.dumps(v, ensure_ascii=False)
+
+
+def as_text(v: object) -> str | None:
+    """Text as it is, numbers and truth values as they stood, objects and lists as JSON; null, and what is nested too deeply
+    to be written, is None."""
+    if v is None:
+        return None
+    if v is True or v is False:
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return str(v)
+    try:
+        return dump(v)
+    except RecursionError:
+        return None
+
+
+def listed_at(v: object) -> list:
+    """A list as it is, null as an empty one, any other value as a list of one."""
+    return v if isinstance(v, list) else [] if v is None else [v]
+
+
+@dataclass(frozen=True)
+class Repeated:
+    """A repeated path below a record: its kind, whether its elements are objects, what to read as key."""
+
+    kind: str
+    objects: bool
+    key: str | None = None  # a field of the object; scalars are their own key
+
+
 def as_text(v: object) -> str | None:
     if v is None:
         return None

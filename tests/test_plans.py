@@ -158,4 +158,4 @@ def test_paths():
     assert resolve({"a": [{"b": 5}]}, ["a", 0, "b"]) == 5 and resolve({"a": {"b": 5}}, ["a", 0, "b"]) == 5
     with pytest.raises(KeyError):
         resolve({"a": []}, ["a", 0])
-    assert E.canonical_json('{"b": 1.50, "a": [true, null]}') == '{"a":[true,null],"b":"1.50"}' and E.canonical_json(None) is None
+    assert E.canonical_json('{"b": 1.50, "a": [true, null]}') == '{"a":[true,null],"b":1.50}' and E.canonical_json(None) is None
