@@ -3,24 +3,25 @@
 Records are read permissively under an explicit schema of text columns, with the raw text retained; then every record is
 classified by quoting, column count and cast checks, in this order. All of it is built-in expressions, one stage, no shuffle.
 
-Quoting is judged on the text between quotes. Split at ``"``, the pieces at even positions are outside quotes: the number of
-pieces must be odd, an outer piece that is not empty must begin with a comma unless it is the first, and end with one unless
-it is the last. An empty outer piece between two quotes is a doubled quote. Commas of outer pieces are the separators.
+Quoting is judged on what is left when each quoted stretch, from a quote to the next, becomes one mark. A quote that is left
+has no partner. A mark may stand beside commas, the ends and other marks (a doubled quote inside a field is where two
+stretches meet), but not beside text. The commas that are left are the separators. Each step is a pattern without nested
+repetition, so that no text, however long, exhausts the matcher's stack.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricequarry.functions.columns import exact
 
 CORRUPT = "_corrupt_record"
 NUL = "\uffff"  # a noncharacter, stands for NUL inside the reader
+MARK = "\ufffe"  # another, stands for a quoted stretch
 
 
 @dataclass(frozen=True)
@@ -64,52 +65,50 @@ KINDS = {"nppes": NPPES, "anomalies": ANOMALIES}
 
 def quoting(line: Column) -> tuple[Column, Column]:
     """(quoting is whole, number of columns) of a record."""
-    parts = F.split(line, '"', -1)
-    last = F.size(parts) - 1
-    outer = F.filter(F.transform(parts, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: p["i"] % 2 == 0)
-    fits = F.forall(
-        outer,
-        lambda p: (p["x"] == "") | (((p["i"] == 0) | p["x"].startswith(",")) & ((p["i"] == last) | p["x"].endswith(","))),
-    )
-    commas = F.aggregate(outer, F.lit(0), lambda n, p: n + F.length(p["x"]) - F.length(F.replace(p["x"], F.lit(","), F.lit(""))))
-    return (last % 2 == 0) & fits, commas + 1
+    left = F.regexp_replace(F.translate(line, MARK, ""), '"[^"]*"', MARK)
+    whole = ~left.contains('"') & ~left.rlike(f"[^,{MARK}]{MARK}|{MARK}[^,{MARK}]")
+    return whole, F.length(left) - F.length(F.replace(left, F.lit(","), F.lit(""))) + 1
 
 
-def classified(df: DataFrame, line: str, kind: str, fields: Sequence[Field]) -> DataFrame:
-    """The rows of one record kind with ``row`` (struct of text columns), the raw text in it, and ``reason`` (null: valid).
+OPTIONS = {
+    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001", "maxCharsPerColumn": "-1",
+    "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE",
+}
 
-    A null line counts as an empty one: a single empty column. One final carriage return is not data.
+
+def classified(df: DataFrame, id_col: str, line: str, kind_col: str, kinds: Mapping[str, Sequence[Field]] = KINDS) -> DataFrame:
+    """(id, kind, raw, row_<kind>..., reason): every record once, read under the schema of its kind; reason null: valid.
+
+    A null line counts as an empty one: a single empty column. One final carriage return is not data. A kind that isn't known
+    is rejected as 'unknown_kind'.
     """
-    raw = F.regexp_replace(F.coalesce(F.col(f"`{line}`"), F.lit("")), r"\r\z", "")
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields] + [T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001", "maxCharsPerColumn": "-1", "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE"}
-    ddl = ", ".join(f"`{f.name}` string" for f in schema)
-    # the CSV parser drops NUL at the ends of a field: it is kept apart while it reads
-    read = df.withColumn("_raw", raw).withColumn("row", F.from_csv(F.translate("_raw", "\x00", NUL), ddl, options))
-    whole, columns = quoting(F.col("_raw"))
-    reason = F.when(~whole, F.lit("broken_quoting")).when(columns != len(fields), F.lit("wrong_column_count"))
-    for f in fields:
-        if f.valid != "true":
-            reason = reason.when(~F.expr(f.valid.format(c=f"coalesce(row.`{f.name}`, '')")), F.lit(f"bad_value:{f.name}"))
-    return read.withColumn("reason", reason)
+    raw = F.regexp_replace(F.coalesce(F.col("line"), F.lit("")), r"\r\z", "")
+    rows = exact(df, [id_col, line, kind_col]).toDF("id", "line", "kind").select("id", F.coalesce("kind", F.lit("")).alias("kind"), raw.alias("raw"))
+    whole, columns = quoting(F.col("raw"))
+    rows = rows.withColumns({"whole": whole, "columns": columns})
+    reason = F.lit("unknown_kind")
+    for kind, fields in kinds.items():
+        ddl = ", ".join(f"`{n}` string" for n in [*(f.name for f in fields), CORRUPT])
+        # the CSV parser drops NUL at the ends of a field: it is kept apart while it reads
+        read = F.when(F.col("kind") == kind, F.from_csv(F.translate("raw", "\x00", NUL), ddl, OPTIONS))
+        rows = rows.withColumn(f"row_{kind}", read)
+        mine = F.when(~F.col("whole"), F.lit("broken_quoting")).when(F.col("columns") != len(fields), F.lit("wrong_column_count"))
+        for f in fields:
+            if f.valid != "true":
+                mine = mine.when(~F.expr(f.valid.format(c=f"coalesce(row_{kind}.`{f.name}`, '')")), F.lit(f"bad_value:{f.name}"))
+        reason = F.when(F.col("kind") == kind, mine).otherwise(reason)
+    return rows.withColumn("reason", reason)
 
 
 def rejected(df: DataFrame, id_col: str = "line_id", line: str = "line", kind_col: str = "record_kind") -> DataFrame:
-    """(id, reason) of every record that can't be loaded. A record kind that isn't known is rejected as 'unknown_kind'."""
-    df = exact(df, [id_col, line, kind_col]).toDF("_id", "_line", "_kind")
-    out = None
-    for kind, fields in KINDS.items():
-        bad = classified(df.filter(F.col("_kind") == kind), "_line", kind, fields).filter("reason is not null").select(F.col("_id").alias(id_col), "reason")
-        out = bad if out is None else out.unionByName(bad)
-    other = df.filter(~F.coalesce(F.col("_kind"), F.lit("")).isin(*KINDS)).select(F.col("_id").alias(id_col), F.lit("unknown_kind").alias("reason"))
-    return out.unionByName(other)
+    """(id, reason) of every record that can't be loaded, from one pass over the records."""
+    return classified(df, id_col, line, kind_col).filter("reason is not null").select(F.col("id").alias(id_col), "reason")
 
 
 def loaded(df: DataFrame, kind: str, id_col: str = "line_id", line: str = "line", kind_col: str = "record_kind") -> DataFrame:
     """The valid records of a kind under its schema: text columns, empty fields as null, nppes.npi without blanks."""
     fields = KINDS[kind]
-    df = exact(df, [id_col, line, kind_col]).toDF("_id", "_line", "_kind")
-    ok = classified(df.filter(F.col("_kind") == kind), "_line", kind, fields).filter("reason is null")
-    cols = [F.nullif(F.translate(f"row.{f.name}", NUL, "\x00"), F.lit("")).alias(f.name) for f in fields]
-    out = ok.select(F.col("_id").alias(id_col), *cols)
+    ok = classified(df, id_col, line, kind_col, {kind: fields}).filter("reason is null")
+    cols = [F.nullif(F.translate(f"row_{kind}.{f.name}", NUL, "\x00"), F.lit("")).alias(f.name) for f in fields]
+    out = ok.select(F.col("id").alias(id_col), *cols)
     return out.withColumn("npi", F.trim("npi")) if kind == "nppes" else out
