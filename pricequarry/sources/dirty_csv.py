@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from pricequarry.functions.columns import exact
 
 CORRUPT = "_corrupt_record"
-NUL = "\uffff"  # a noncharacter, stands for NUL inside the reader
-MARK = "\ufffe"  # another, stands for a quoted stretch
+# Noncharacters. The CSV reader drops NUL at the ends of a field, and U+FFFF ends its input: both are kept apart while it reads.
+SPECIAL, STAND_INS = "\x00\uffff", "\ufdd0\ufdd1"
+NO_NULL = "\ufdd2"  # what the reader takes for null: nothing
+MARK = "\ufffe"  # stands for a quoted stretch
 
 
 @dataclass(frozen=True)
@@ -58,20 +60,27 @@ ANOMALIES = (
     Field("type"),
     Field("key"),
     Field("json_path"),
-    Field("detail", r"not rlike({c}, '[\\x00-\\x09\\x0B-\\x1F\\x7F-\\x9F\\uFFFD\\uFFFF]')"),
+    Field("detail", r"not rlike({c}, '[\\x00-\\x09\\x0B-\\x1F\\x7F-\\x9F\\uFFFD\\uFDD0]')"),
 )
 KINDS = {"nppes": NPPES, "anomalies": ANOMALIES}
 
 
 def quoting(line: Column) -> tuple[Column, Column]:
     """(quoting is whole, number of columns) of a record."""
-    left = F.regexp_replace(F.translate(line, MARK, ""), '"[^"]*"', MARK)
+    return judged(marked(line))
+
+
+def marked(line: Column) -> Column:
+    return F.regexp_replace(F.translate(line, MARK, ""), '"[^"]*"', MARK)
+
+
+def judged(left: Column) -> tuple[Column, Column]:
     whole = ~left.contains('"') & ~left.rlike(f"[^,{MARK}]{MARK}|{MARK}[^,{MARK}]")
     return whole, F.length(left) - F.length(F.replace(left, F.lit(","), F.lit(""))) + 1
 
 
 OPTIONS = {
-    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001", "maxCharsPerColumn": "-1",
+    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": NO_NULL, "maxCharsPerColumn": "-1",
     "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE",
 }
 
@@ -84,14 +93,19 @@ def classified(df: DataFrame, id_col: str, line: str, kind_col: str, kinds: Mapp
     """
     raw = F.regexp_replace(F.coalesce(F.col("line"), F.lit("")), r"\r\z", "")
     rows = exact(df, [id_col, line, kind_col]).toDF("id", "line", "kind").select("id", F.coalesce("kind", F.lit("")).alias("kind"), raw.alias("raw"))
-    whole, columns = quoting(F.col("raw"))
-    rows = rows.withColumns({"whole": whole, "columns": columns})
-    reason = F.lit("unknown_kind")
+    rows = rows.withColumn("left", marked(F.col("raw")))
+    whole, columns = judged(F.col("left"))
+    rows = rows.select("*", F.explode(F.array(F.struct(whole.alias("whole"), columns.alias("columns")))).alias("q")).select("id", "kind", "raw", "q.*")
+    parts = []
     for kind, fields in kinds.items():
         ddl = ", ".join(f"`{n}` string" for n in [*(f.name for f in fields), CORRUPT])
-        # the CSV parser drops NUL at the ends of a field: it is kept apart while it reads
-        read = F.when(F.col("kind") == kind, F.from_csv(F.translate("raw", "\x00", NUL), ddl, OPTIONS))
-        rows = rows.withColumn(f"row_{kind}", read)
+        # a line whose quoting is broken would spoil the reader's state for the next one
+        read = F.from_csv(F.translate("raw", SPECIAL, STAND_INS), ddl, OPTIONS)
+        parts.append(F.when((F.col("kind") == kind) & F.col("whole"), read).alias(f"row_{kind}"))
+    # a generator of one row: what is read is computed once, not once for every condition that uses it
+    rows = rows.select("*", F.explode(F.array(F.struct(*parts))).alias("x")).select("id", "kind", "raw", "whole", "columns", "x.*")
+    reason = F.lit("unknown_kind")
+    for kind, fields in kinds.items():
         mine = F.when(~F.col("whole"), F.lit("broken_quoting")).when(F.col("columns") != len(fields), F.lit("wrong_column_count"))
         for f in fields:
             if f.valid != "true":
@@ -109,6 +123,6 @@ def loaded(df: DataFrame, kind: str, id_col: str = "line_id", line: str = "line"
     """The valid records of a kind under its schema: text columns, empty fields as null, nppes.npi without blanks."""
     fields = KINDS[kind]
     ok = classified(df, id_col, line, kind_col, {kind: fields}).filter("reason is null")
-    cols = [F.nullif(F.translate(f"row_{kind}.{f.name}", NUL, "\x00"), F.lit("")).alias(f.name) for f in fields]
+    cols = [F.nullif(F.translate(f"row_{kind}.{f.name}", STAND_INS, SPECIAL), F.lit("")).alias(f.name) for f in fields]
     out = ok.select(F.col("id").alias(id_col), *cols)
     return out.withColumn("npi", F.trim("npi")) if kind == "nppes" else out

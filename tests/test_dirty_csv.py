@@ -43,6 +43,15 @@ def test_anomalies(spark):
     assert loaded(df, "anomalies").collect()[0].detail == 'two\nlines, "x"'
 
 
+def test_one_line_doesnt_change_how_the_next_is_read(spark):
+    ok = "index,0123456789ab,t,k,p,{}"
+    details = ["na\x00me", "x", '"open', "y", "\uffff", "z", "\x00", "w", "\x01", '"a""', '"v"']
+    df = spark.createDataFrame([(n, "anomalies", ok.format(d)) for n, d in enumerate(details)], DDL).coalesce(1)
+    got = {r.line_id: r.reason for r in rejected(df).collect()}
+    assert got == {0: "bad_value:detail", 2: "broken_quoting", 6: "bad_value:detail", 8: "bad_value:detail", 9: "broken_quoting"}
+    assert [r.detail for r in loaded(df, "anomalies").orderBy("line_id").collect()] == ["x", "y", "\uffff", "z", "w", "v"]
+
+
 def test_edges(spark):
     long = GOOD.replace("Town", "x" * 500_000).replace('"1 ""A"" St, 2"', '"' + '""' * 50_000 + '"')
     df = spark.createDataFrame([(1, "nppes", GOOD), (1, "nppes", GOOD), (2, None, GOOD), (3, "other", None), (None, "nppes", "x"), (4, "nppes", long)], DDL)
