@@ -11,6 +11,7 @@ from pricequarry.functions import scalar as X
 from pricequarry.plans import analytics as A
 from pricequarry.plans import build as B
 from pricequarry.plans import extract as E
+from pricequarry.plans import index as I
 from pricequarry.plans import star as S
 from pricequarry.plans.filters import Filters, core_subset
 from pricequarry.session import table
@@ -521,6 +522,48 @@ query(
     f"select *, case when pct_below is null then null when pct_below < 20 then 0 when pct_below < 40 then 1 when pct_below < 60 then 2 when pct_below < 80 then 3 when pct_below < 95 then 4 else 5 end as band from ({SQL['npi_profile']})",
 )(lambda spark, sf: QUERIES["npi_profile"](spark, sf).withColumn("band", X.percentile_band(F.col("pct_below"))))
 
+BUSY_NPI = "(select npi from rates_npi_dedup where snapshot_date = (select max(snapshot_date) from rates_npi_dedup) and npi is not null group by 1 order by count(*) desc, 1 limit 1)"
+
+
+@query(
+    "source_rows",
+    f"""with {FILES} select s.file_id, f.file_name, f.file_sha256, s.billing_code, s.negotiated_rate_raw, format('in_network[{{}}].negotiated_rates[{{}}].negotiated_prices[{{}}]', s.i, s.j, s.k) as price_path,
+case when s.m is not null then format('provider_references[{{}}].provider_groups[{{}}].npi[{{}}]', s.m, s.n, s.p) end as npi_path from rates_npi s left join files f on f.file_id = s.file_id where s.npi = {BUSY_NPI}""",
+)
+def source_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source of the rates of the NPI with most rates."""
+    rows = table(spark, sf, "rates_npi")
+    mine = rows.filter(F.col("npi") == busiest(spark, sf, "npi")).drop("file_name", "file_sha256")
+    files = B.files_of(rows).select("file_id", "file_name", "file_sha256")
+    return mine.join(files, "file_id", "left").select("file_id", "file_name", "file_sha256", "billing_code", "negotiated_rate_raw", X.price_path().alias("price_path"), X.npi_path().alias("npi_path"))
+
+
+_TABLES = ("rates", "provider_groups", "rates_npi", "rates_npi_dedup", "nppes", "anomalies", "in_network", "provider_references")
+query("table_counts", " union all ".join(f"select '{t}' as name, count(*) as n from {t}" for t in _TABLES))(
+    lambda spark, sf: B.stacked([table(spark, sf, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("name"), "n") for t in _TABLES])
+)
+query(
+    "files_dim",
+    f"""with {FILES}, nets as (select file_id, array_to_string(list_sort(list(distinct v)), ',') as networks from (select file_id, unnest(network_name) as v from rates_npi) where v is not null group by 1)
+select file_id, file_name, is_in_state_file, file_last_updated_on, networks from files left join nets using (file_id)""",
+)(lambda spark, sf: _files_dim(spark, sf))
+
+
+def _files_dim(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "rates_npi")
+    nets = rows.select("file_id", F.explode("network_name").alias("v")).filter("v is not null").groupBy("file_id").agg(F.array_join(F.array_sort(F.collect_set("v")), ",").alias("networks"))
+    return B.files_of(rows).join(nets, "file_id", "left").select("file_id", "file_name", "is_in_state_file", "file_last_updated_on", "networks")
+
+
+query(
+    "flat_export",
+    """select r.file_id, r.i, r.j, r.k, r.r, r.billing_code, r.negotiated_rate_raw, array_to_string(r.service_code, '|') as service_code, array_to_string(r.billing_code_modifier, '|') as billing_code_modifier, g.npi, g.tin_type, g.tin_value
+from rates r left join provider_groups g using (file_id, provider_group_id)""",
+)(
+    lambda spark, sf: I.flat_export(table(spark, sf, "rates"), table(spark, sf, "provider_groups"))
+    .select("file_id", "i", "j", "k", "r", "billing_code", "negotiated_rate_raw", "service_code", "billing_code_modifier", "npi", "tin_type", "tin_value")
+)
+
 # ---- extraction -----------------------------------------------------------------------------------------------------------
 
 _obj, _list = "json_type({0}) = 'OBJECT'", "case coalesce(json_type({0}), 'NULL') when 'ARRAY' then json_extract({0}, '$[*]') when 'NULL' then [] else [{0}] end"
