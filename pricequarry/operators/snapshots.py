@@ -119,6 +119,18 @@ def latest_rows(df: DataFrame, snapshot: str, keys: Sequence[str], value: str, l
     )
 
 
+def key_ordinals(rows: DataFrame, ks: Sequence[str], shards: int) -> DataFrame:
+    """(shard, ordinal, keys..., versions): the dictionary of keys, from ``latest_rows``.
+
+    Ordinals are persistent: keys are numbered by the first snapshot that has them, so the numbers that a run over fewer
+    snapshots gave stay as they were. ``versions`` holds the key's (snap, value) pairs.
+    """
+    per_key = rows.groupBy(*ks).agg(F.min("snap").alias("first"), F.collect_list(F.struct("snap", "value")).alias("versions"))
+    per_key = per_key.withColumn("shard", F.pmod(F.xxhash64(*ks), F.lit(shards)).cast("int"))
+    order = Window.partitionBy("shard").orderBy("first", *ks)
+    return per_key.withColumn("ordinal", F.row_number().over(order).cast("long") - 1)
+
+
 def snapshot_changes(
     df: DataFrame, snapshot: str, keys: Sequence[str], value: str, loaded: str, tolerance: float = 0.005, shards: int | None = None
 ) -> DataFrame:
@@ -133,11 +145,7 @@ def snapshot_changes(
     shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ks = [f"k{i}" for i in range(len(keys))]
     # all snapshots of a key side by side: one row a key, which is also what numbers the keys
-    rows = latest_rows(df, snapshot, keys, value, loaded)
-    per_key = rows.groupBy(*ks).agg(F.min("snap").alias("first"), F.collect_list(F.struct("snap", "value")).alias("versions"))
-    per_key = per_key.withColumn("shard", F.pmod(F.xxhash64(*ks), F.lit(shards)).cast("int"))
-    order = Window.partitionBy("shard").orderBy("first", *ks)
-    numbered = per_key.withColumn("ordinal", F.row_number().over(order).cast("long") - 1)
+    numbered = key_ordinals(latest_rows(df, snapshot, keys, value, loaded), ks, shards)
     # one row per snapshot date, numbered; joined by equality, broadcast only where Spark sees that it is small
     dates = df.select(F.col(f"`{snapshot}`").cast("date").alias("snap")).filter("snap is not null").distinct()
     dates = dates.select("snap", F.row_number().over(Window.orderBy("snap")).alias("seq"), F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias("n_seq"))

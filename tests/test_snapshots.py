@@ -7,7 +7,7 @@ from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.operators.snapshots import Bitmap, snapshot_changes
+from pricequarry.operators.snapshots import Bitmap, key_ordinals, latest_rows, snapshot_changes
 
 DDL = "day date, a string, b string, v double, at timestamp"
 D = [dt.date(2031, m, 20) for m in (3, 4, 5)]
@@ -47,7 +47,7 @@ def test_against_brute_force(spark):
     data += data[:50]
     key = lambda r: tuple(str(x) for x in r)
     df = spark.createDataFrame(data, DDL)
-    assert sorted(map(key, changes(df) if False else [tuple(r) for r in snapshot_changes(df, "day", ["a", "b"], "v", "at").collect()])) == sorted(map(key, brute(data)))
+    assert sorted(map(key, [tuple(r) for r in snapshot_changes(df, "day", ["a", "b"], "v", "at").collect()])) == sorted(map(key, brute(data)))
 
 
 def test_edges(spark):
@@ -75,3 +75,17 @@ def test_bitmap_is_a_set(a, b, dense_a, dense_b):
     x, y = Bitmap.of(np.array(sorted(a), np.int64)), Bitmap.of(np.array(sorted(b), np.int64))
     assert set(x.numbers().tolist()) == a
     assert set(x.and_not(y).tolist()) == a - b and set(x.both(y).tolist()) == a & b
+
+
+def test_ordinals_persist(spark):
+    at = dt.datetime(2031, 1, 1)
+    data = [(D[n % 3], f"k{n % 50 if n % 3 == 0 else n}", "", 1.0, at) for n in range(300)]
+    df = spark.createDataFrame(data, DDL)
+
+    def numbers(rows):
+        d = key_ordinals(latest_rows(rows, "day", ["a", "b"], "v", "at"), ["k0", "k1"], 3)
+        return {r.k0: (r.shard, r.ordinal) for r in d.collect()}
+
+    before, after = numbers(df.filter(df.day < D[2])), numbers(df)
+    assert before.items() <= after.items() and len(after) > len(before)
+    assert len(set(after.values())) == len(after)
