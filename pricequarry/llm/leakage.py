@@ -25,6 +25,8 @@ SEED = 4
 CHANGED = 2  # words that may differ between two matches of a stretch
 WITHIN = 12  # words that may lie between two matches of a stretch, if most of them are the same
 ALIKE = 0.7  # share of a stretch's words that must be the same
+MANY = 2000  # matches of a pair of document and item from which one long enough decides, before any are chained
+HITS = 4_000_000  # common seeds that are looked at together
 INSERTED = 15  # words that markup may put between two matches of a stretch
 WORD = re.compile(r"[^\W_]+")
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
@@ -106,11 +108,14 @@ class Shard:
         self.suffixes = start[order]
         self.keys = k[self.suffixes] if len(k) else np.empty(0, np.uint64)
 
-    def hits(self, passages: Passages) -> tuple[np.ndarray, np.ndarray]:
-        """(position in the shard, index into the passages' seeds) of all common seeds."""
+    def ranges(self, passages: Passages) -> tuple[np.ndarray, np.ndarray]:
+        """Of each seed of the passages, by binary search: where the suffixes that begin with it start, and how many there are."""
         lo = np.searchsorted(self.keys, passages.keys, "left")
-        n = np.searchsorted(self.keys, passages.keys, "right") - lo
-        seed = np.repeat(np.arange(len(n)), n)
+        return lo, np.searchsorted(self.keys, passages.keys, "right") - lo
+
+    def hits(self, lo: np.ndarray, n: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in the shard, name of the seed) of all suffixes in the ranges."""
+        seed = np.repeat(names, n)
         first = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(n) else lo
         return self.suffixes[first + np.arange(len(seed))], seed
 
@@ -197,10 +202,20 @@ def leaks(words: Sequence[Sequence[str]], passages: Passages, share: float) -> l
     if not parts:
         return []
     shard = Shard(np.concatenate(parts))
-    where, seed = shard.hits(passages)
+    lo, n = shard.ranges(passages)
+    out = []
+    # a repeated phrase may have very many common seeds: items are taken in groups, each with all of its seeds
+    upto = np.cumsum(np.bincount(passages.item, weights=n, minlength=len(passages.ids)))
+    group = (upto // HITS).astype(np.int64)
+    for g in np.unique(group[passages.item[n > 0]]) if n.any() else ():
+        mine = np.flatnonzero(group[passages.item] == g)
+        out += _leaks(shard, np.array(starts), passages, *shard.hits(lo[mine], n[mine], mine), share)
+    return out
+
+
+def _leaks(shard: Shard, begin: np.ndarray, passages: Passages, where: np.ndarray, seed: np.ndarray, share: float) -> list[tuple[int, int, int, int]]:
     if not len(where):
         return []
-    begin = np.array(starts)
     doc = np.searchsorted(begin, where, "right") - 1
     item, at = passages.item[seed], passages.at[seed]
     order = np.lexsort((where, where - at, item, doc))
@@ -217,11 +232,14 @@ def leaks(words: Sequence[Sequence[str]], passages: Passages, share: float) -> l
     out = []
     for n in np.flatnonzero(bound >= share * passages.size[item[pair]]):
         lo, hi = pair[n], end[n]
-        text = shard.numbers[begin[doc[lo]] : begin[doc[lo] + 1] - 1]
-        runs = [(int(where[i] - begin[doc[lo]]), int(at[i]), int(length[i])) for i in range(lo, hi)]
-        most, _, _ = held(stretches(runs, text, passages.words[item[lo]]))
-        if most >= share * passages.size[item[lo]]:
-            out.append((int(doc[lo]), int(item[lo]), most, int(length[lo:hi].max())))
+        need, most = share * passages.size[item[lo]], int(length[lo:hi].max())
+        longest = most
+        if hi - lo <= MANY or most < need:
+            text = shard.numbers[begin[doc[lo]] : begin[doc[lo] + 1] - 1]
+            runs = [(int(where[i] - begin[doc[lo]]), int(at[i]), int(length[i])) for i in range(lo, hi)]
+            most, _, _ = held(stretches(runs, text, passages.words[item[lo]]))
+        if most >= need:
+            out.append((int(doc[lo]), int(item[lo]), most, longest))
     return out
 
 
@@ -231,6 +249,9 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, n_words, n_held, longest): documents that hold at least ``share`` of an item's words, in order.
 
+    ``n_held`` is what the best one or two stretches hold; where a document repeats parts of an item thousands of times, the
+    longest verbatim match, if it is long enough.
+
     Items are taken in blocks of ``block_words`` words, each compared with all documents. Null and empty texts and passages
     hold nothing; passages of fewer than four words can't be found; repeated documents and items each give their rows.
     """

@@ -68,7 +68,8 @@ def test_suffix_array_finds_every_seed(numbers, item):
     ps = Passages([(0, " ".join(names[n] for n in item))])
     order = {n: ps.number.get(names[n], 0) for n in range(4)}
     mapped = np.array([order[n] for n in numbers], np.uint64) if numbers else text
-    where, seed = Shard(mapped).hits(ps)
+    shard = Shard(mapped)
+    where, seed = shard.hits(*shard.ranges(ps), np.arange(len(ps.keys)))
     got = sorted(zip(where.tolist(), ps.at[seed].tolist(), strict=True))
     want = sorted((i, j) for i in range(len(numbers) - 3) for j in range(len(item) - 3) if 0 not in mapped[i : i + 4] and mapped[i : i + 4].tolist() == ps.words[0][j : j + 4].tolist())
     assert got == want
@@ -84,3 +85,9 @@ def test_longest_match_is_reported():
 def test_words_without_markup():
     assert passage_words("''It''s&nbsp;[[Foo (x)|bar]]s{{dubious}} <!-- c --> thea\xadtre A1") == ["its", "bars", "c", "theatre", "a1"]
     assert passage_words(None) == [] and common([1, 2, 3], [1, 3]) == 2
+
+
+def test_repeated_phrases(spark):
+    rep, other = " ".join(["no"] * 40), " ".join(words(50))
+    docs = [(1, "no " * 100_000), (2, "no " * 19), (3, "no no no yes " * 20_000), (4, other)]
+    assert found(spark, docs, [(1, rep), (2, other), (3, " ".join(["a", "b"] * 20))]) == [(1, 1), (4, 2)]
