@@ -82,15 +82,14 @@ def json_key(values: list) -> str:
     return "\x1f".join("" if v is None else as_text(v) for v in values)
 
 
-def file_order(df: DataFrame) -> DataFrame:
-    """The files of each feed and record kind by date (then id), numbered from 1; n_files of the feed."""
-    files = df.select(*[F.col(c).cast("string").alias(c) for c in FILE]).distinct()
+def file_order(files: DataFrame) -> DataFrame:
+    """The files of each feed and record kind by date (then id), numbered from 1, each with the one that follows."""
     w = Window.partitionBy(*GROUP).orderBy("file_date", "file_id")
     return files.select(*FILE, F.row_number().over(w).alias("seq"), F.lead("file_id").over(w).alias("next_file"))
 
 
 def headers(df: DataFrame, body: str = "body") -> DataFrame:
-    """Per file and field the sorted set of JSON types of its non-null values (empty: only nulls).
+    """Per file and field the sorted set of JSON types of its non-null values (empty: only nulls); a row without field per file.
 
     Tasks reduce their records to one row per file and field before anything is shuffled.
     """
@@ -99,11 +98,11 @@ def headers(df: DataFrame, body: str = "body") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple, dict[str, set[str]]] = {}
+            seen: dict[tuple, dict[str | None, set[str]]] = {}
             for *own, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                fields = seen.setdefault(tuple(own), {None: set()})
                 record = parse(text)
                 if isinstance(record, dict):
-                    fields = seen.setdefault(tuple(own), {})
                     for field, v in leaves(record):
                         types = fields.setdefault(field, set())
                         if v is not None:
@@ -125,9 +124,10 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
     Repeated records count once; late files stand where their date puts them.
     """
     df = exact(df, [*FILE, body])
-    files = file_order(df)
-    null_safe = lambda a, b: a.eqNullSafe(b)
-    head = headers(df, body).alias("h").join(files.alias("f"), [null_safe(F.col(f"h.{c}"), F.col(f"f.{c}")) for c in FILE]).select("h.*", "seq", "next_file")
+    seen = cut(headers(df, body))  # one row per file and field: small, and read by all that follows
+    files = file_order(seen.filter("field is null"))
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"f.{c}")) for c in FILE]
+    head = seen.filter("field is not null").alias("h").join(files.alias("f"), same).select("h.*", "seq", "next_file")
     w = Window.partitionBy(*GROUP, "field").orderBy("seq")
     known = F.when(F.size("types") > 0, F.col("types"))
     head = (
@@ -135,7 +135,7 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
         .withColumn("after", F.lead("seq").over(w))
         .withColumn("types_before", F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     )
-    head = cut(head)  # one row per file and field: small, and read by all that follows
+    head = cut(head)
     added = head.filter((F.col("seq") > 1) & (F.coalesce(F.col("before"), F.lit(0)) < F.col("seq") - 1))
     added = added.select(*GROUP, "file_id", F.col("field").alias("new_field"), "seq")
     removed = head.filter(F.col("next_file").isNotNull() & (F.coalesce(F.col("after"), F.lit(0)) != F.col("seq") + 1))
