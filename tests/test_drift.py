@@ -72,6 +72,11 @@ def test_unified_table(spark):
     assert {r.field: r.types for r in field_types(df).collect()}["m"] == ["array", "string"]
 
 
+def test_types_of_long_numbers(spark):
+    files = [("f1", "2030-01-01", ['{"row": 1, "a": ' + "9" * 3000 + "}", '{"row": 2, "a": NaN, "b": 1.5e3}']), ("f2", "2030-02-01", [rec(1, a="9", b=False)])]
+    assert log(feed(spark, files)) == [("f2", "type_changed", "a", ""), ("f2", "type_changed", "b", "")]
+
+
 def test_lattice():
     assert [promote(frozenset(x)) for x in ((), ("number",), ("boolean",), ("number", "string"), ("boolean", "number"), ("array", "number"))] == [
         "string", "double", "boolean", "string", "string", "array<string>"
