@@ -131,7 +131,10 @@ def train(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", language: str = "en", band: str = "band",
     least_words: int = 60, most_labels: int = 20_000,
 ) -> Model:
-    """The model from all pages and at most ``most_labels`` labelled ones (those of least doc_id; repeated labels: the median)."""
+    """The model from all pages and at most ``most_labels`` labelled ones (those of least doc_id; repeated labels: the median).
+
+    Without any labelled page of enough prose the model is empty, and no page has a level.
+    """
     documents, labels = exact(documents, [doc_id, text, lang]), exact(labels, [doc_id, band])
     given = labels.filter(F.col(band).between(1, 4)).groupBy(F.col(doc_id).cast("long").alias("k")).agg(F.floor(F.median(band) + 0.5).cast("int").alias("b"))
     bands = {r.k: r.b for r in given.orderBy("k").limit(most_labels).collect()}
@@ -149,7 +152,7 @@ def train(
     sample = [(Page(r.words.split(), r.n), r.b) for r in rows.mapInArrow(words_of, "b int, words string, n int").collect()]
     sample = [(p, b) for p, b in sample if len(p.words) >= least_words]
     if not sample:
-        raise ValueError("no labelled page has enough prose")
+        return Model()
     guess = first_guess(sample)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +190,7 @@ def reading_levels(
 ) -> DataFrame:
     """(doc_id, band, score, n_words, n_sentences) of every page of the language with at least ``least_words`` words of prose.
 
-    Null texts, other and null languages and pages with less prose have no row; repeated pages have a row each.
+    An empty model gives no row. Null texts, other and null languages and pages with less prose have no row; repeated pages have a row each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,4 +207,6 @@ def reading_levels(
 
     documents = exact(documents, [doc_id, text, lang])
     rows = _pages(documents, text, lang, language).select(F.col(doc_id).cast("long"), F.col(text))
+    if model.coefficients is None:
+        rows = rows.limit(0)
     return rows.mapInArrow(run, "doc_id long, band int, score double, n_words int, n_sentences int")

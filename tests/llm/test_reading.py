@@ -47,6 +47,9 @@ def test_which_pages_have_a_level(spark):
     got = sorted(r.doc_id for r in reading_levels(spark.createDataFrame(odd, DDL), model).collect())
     assert got == [7, 7, 8]
     assert reading_levels(d.limit(0), model).collect() == []
+    none = spark.createDataFrame([(999, 2)], "doc_id long, band int")
+    for empty in (train(d, none), train(d, none.limit(0)), train(d.limit(0), none)):
+        assert reading_levels(d, empty).collect() == []
 
 
 def test_prose():
