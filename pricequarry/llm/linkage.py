@@ -3,7 +3,8 @@
 1. Names are parsed (names.py) and reduced to distinct parsed names, these to distinct cores.
 2. Cores are banded: MinHash over padded q-grams, with as many bands as the collision curve 1 - (1 - s^rows)^bands asks for at
    the least similarity to be found. Buckets give candidate pairs of cores, once each, verified by Monge-Elkan similarity.
-   A bucket that more than ``chunk`` cores share is not paired off: it is split by its next band value, see ``band_pairs``.
+   A bucket that more than ``chunk`` cores share is not paired off: its cores meet by the spellings of their words, which loses
+   no similar pair, see ``near_pairs``.
 3. Star clustering of cores: by rounds, a core that outranks all free neighbours (degree, weight, text) becomes a centre and
    takes its free neighbours. Rounds are written to the shared folder.
 4. Within a star, parsed names, the centre's own and heavy ones first, are linked to the owners of which ``same_owner`` holds;
@@ -92,14 +93,8 @@ def may_agree(a: Column, b: Column) -> Column:
     return near | a.contains(" ") | b.contains(" ") | a.startswith(b) | b.startswith(a)
 
 
-def band_pairs(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
-    """(a, b), a < b: cores that share a band value and may agree, each pair once.
-
-    Within a bucket of up to ``chunk`` cores all pairs are candidates. A larger bucket holds cores that are alike to begin
-    with: each core is paired with the ``chunk`` smallest of the bucket and with its ``chunk`` neighbours in the order of the
-    text from its first letter and from its last, so that candidates stay linear in the bucket; what differs in more than one
-    place meets in other bands.
-    """
+def banded(cores: DataFrame, similarity: float, recall: float, rows: int) -> DataFrame:
+    """(core, bucket, n): the band values of each core that others share, with the number of cores that do."""
     bands = bands_for(similarity, recall, rows)
     minhash = MinHash(bands, rows)
 
@@ -112,24 +107,90 @@ def band_pairs(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95,
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(texts, dtype=object), bands), pa.string()), pa.array(values)], names=["core", "bucket"])
 
     rows_ = cores.select("core").repartition(tasks(cores), "core").mapInArrow(run, "core string, bucket long")
-    by = Window.partitionBy("bucket")
-    sized = rows_.withColumn("n", F.count(F.lit(1)).over(by)).filter("n > 1")
+    return rows_.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter("n > 1")
+
+
+def band_pairs(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
+    """(a, b), a < b: cores that share a band value with up to ``chunk`` cores and may agree, each pair once. The pairs of larger
+    buckets are those of ``near_pairs``; ``candidates`` gives both."""
+    return _small(banded(cores, similarity, recall, rows), chunk)
+
+
+def _small(buckets: DataFrame, chunk: int) -> DataFrame:
+    few = buckets.filter(F.col("n") <= chunk).select("bucket", "core")
     cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.core") < F.col("y.core"))
-    few = sized.filter(F.col("n") <= chunk).select("bucket", "core")
     pairs = few.alias("x").join(few.alias("y"), cond).select(F.col("x.core").alias("a"), F.col("y.core").alias("b"))
-    big = sized.filter(F.col("n") > chunk).withColumn("place", F.row_number().over(by.orderBy("core"))).withColumn("back", F.row_number().over(by.orderBy(F.reverse("core"))))
-    steps = []
-    for order in ("place", "back"):
-        cell = F.expr(f"{order} div {chunk}")
-        left = big.select("bucket", "core", order, cell.alias("cell"))
-        right = left.select("bucket", F.col("core").alias("core2"), F.col(order).alias("order2"), F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"))
-        met = left.join(right, ["bucket", "cell"]).filter((F.col(order) >= F.col("order2")) & (F.col(order) - F.col("order2") <= chunk) & (F.col("core") != F.col("core2")))
-        steps.append(met.select(F.least("core", "core2").alias("a"), F.greatest("core", "core2").alias("b")))
-    for s in steps:
-        pairs = pairs.unionByName(s)
     return pairs.filter(may_agree(F.col("a"), F.col("b"))).distinct()
 
 
+def candidates(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
+    """(a, b), a < b: the pairs of cores that share a band value, each once, but for some of which ``same_core`` can't hold."""
+    buckets = banded(cores, similarity, recall, rows)
+    crowded = buckets.filter(F.col("n") > chunk).select("core").distinct()
+    return _small(buckets, chunk).unionByName(near_pairs(crowded)).distinct()
+
+
+SHORT = 26  # up to here a word's spellings with two letters left out are listed, beyond only those of its ends
+END = 10
+
+
+def spellings(word: str) -> set[tuple[str, bool]]:
+    """(key, whole): words of which ``alike_core`` is not 0 have a key in common that is whole for one of them.
+
+    Words few edits apart are equal when each leaves out as many letters (a swap is one). Of long words either the first or the
+    last letters hold at most one of two edits. The beginnings of a word are keys that are whole for that beginning only.
+    """
+    n, out = len(word), set()
+    if n <= SHORT:
+        left = {word}
+        for _ in range(2 if n >= LONG_CORE - 2 else 1):
+            left |= {w[:i] + w[i + 1 :] for w in left for i in range(len(w))}
+        out = {(f"-{w}", True) for w in left}
+    if n >= SHORT - 1:
+        out |= {(f"{side}{w[:i]}{w[i + 1 :]}", True) for side, w in (("^", word[:END]), ("$", word[-END:])) for i in range(END)}
+    return out | {(f"+{word[:i]}", i == n) for i in range(6, min(n, SHORT) + 1)}
+
+
+def near_pairs(cores: DataFrame, least: float = 0.78, block: int = 1024) -> DataFrame:
+    """(a, b), a < b: every pair of the cores that may reach ``least`` in ``same_core``, each once, and few others.
+
+    For a similarity of ``least`` each core needs a partner for all but a share of 1 - ``least`` of its words, so that one more
+    than that, its rarest, are looked up among all words of the others by their ``spellings``. Cores that have a spelling in
+    common are compared in blocks of ``block`` with all the others, so no task gets them all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for core, word, own in zip(*[batch.column(n).to_pylist() for n in range(3)], strict=True):
+                rows += [(core, own, key, whole) for key, whole in spellings(word)]
+                if len(rows) >= 5000:
+                    yield build(rows)
+                    rows = []
+            if rows:
+                yield build(rows)
+
+    def build(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.bool_(), pa.string(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["core", "own", "key", "whole"])
+
+    words = cores.select("core", F.explode(F.array_distinct(F.split("core", " "))).alias("word"))
+    words = words.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("word")))
+    by = Window.partitionBy("core")
+    words = words.withColumn("place", F.row_number().over(by.orderBy("often", F.desc(F.length("word")), "word"))).withColumn("size", F.count(F.lit(1)).over(by))
+    words = words.select("core", "word", (F.col("place") <= F.floor(F.col("size") * (1 - least) + 1e-9) + 1).alias("own"))
+    keys = words.repartition(tasks(cores), "core", "word").mapInArrow(run, "core string, own boolean, key string, whole boolean")
+    keys = keys.select("core", "own", "whole", F.xxhash64("key").alias("key"))
+    keys = keys.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    keys = keys.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    x = keys.filter("own").withColumn("part", F.pmod(F.hash("core"), "blocks")).alias("x")
+    y = keys.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
+    once = F.when(F.col("y.own"), F.col("x.core") < F.col("y.core")).otherwise(F.col("x.core") != F.col("y.core"))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part")) & once & (F.col("x.whole") | F.col("y.whole")))
+    met = met.select(F.least("x.core", "y.core").alias("a"), F.greatest("x.core", "y.core").alias("b"))
+    return met.filter(may_agree(F.col("a"), F.col("b"))).distinct()
+
+
 def similar_cores(pairs: DataFrame, least: float = 0.78) -> DataFrame:
     """The candidate pairs whose Monge-Elkan similarity reaches ``least``."""
 
@@ -206,7 +267,7 @@ def owners(names: DataFrame) -> DataFrame:
     nodes = names.groupBy("node", "core").agg(F.sum("weight").alias("weight"))
     nodes = cut(nodes)
     cores = nodes.groupBy("core").agg(F.sum("weight").alias("weight"))
-    edges = cut(similar_cores(band_pairs(cores)))
+    edges = cut(similar_cores(candidates(cores)))
     star = cut(stars(cores, edges))
     placed = nodes.join(star, "core").select("center", "node", "weight", (F.col("core") == F.col("center")).alias("inner"))
     found = placed.repartition(tasks(names), "center").sortWithinPartitions("center", F.desc("inner"), F.desc("weight"), "node").select("center", "node").mapInArrow(_owners, "node string, owner string")
