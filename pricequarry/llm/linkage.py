@@ -8,7 +8,8 @@
 3. Star clustering of cores: by rounds, a core that outranks all free neighbours (degree, weight, text) becomes a centre and
    takes its free neighbours. Rounds are written to the shared folder.
 4. Within a star, parsed names, the centre's own and heavy ones first, are linked to the owners of which ``same_owner`` holds;
-   names of similar cores in different stars are compared too, so that no link is lost to the choice of centres.
+   other names of equal or similar cores, in one star or in two, are compared too, so that no link is lost to the choice of
+   centres or owners.
 5. Keys sharing a cluster are connected; a key's names that stand in for its own are dropped before.
 """
 
@@ -276,12 +277,18 @@ def owners(names: DataFrame) -> DataFrame:
 
 
 def bridges(nodes: DataFrame, edges: DataFrame, star: DataFrame, found: DataFrame) -> DataFrame:
-    """(node, owner) links that stars would lose: a core similar to two centres is in one star only, so names of similar cores
-    in different stars are compared one by one."""
+    """(node, owner) links that stars would lose: a core similar to two centres is in one star only, and within a star names are
+    compared with owners only. So names of similar cores in different stars are compared one by one, and names of equal or
+    similar cores in one star unless they have an owner in common."""
     a, b = star.toDF("a", "center_a"), star.toDF("b", "center_b")
-    apart = edges.join(a, "a").join(b, "b").filter("center_a <> center_b").select("a", "b")
-    left, right = nodes.select(F.col("core").alias("a"), F.col("node").alias("x")), nodes.select(F.col("core").alias("b"), F.col("node").alias("y"))
-    met = apart.join(left, "a").join(right, "b").select("x", "y")
+    alike = edges.join(a, "a").join(b, "b").select("a", "b", (F.col("center_a") == F.col("center_b")).alias("within"))
+    alike = alike.unionByName(star.select(F.col("core").alias("a"), F.col("core").alias("b"), F.lit(True).alias("within")))
+    kind, given = F.split_part("node", F.lit("|"), F.lit(1)), F.substring(F.split_part("node", F.lit("|"), F.lit(4)), 1, 1)
+    homes = found.groupBy("node").agg(F.collect_set("owner").alias("homes"))
+    named = cut(nodes.join(homes, "node").select("core", "node", "homes", F.concat_ws("|", kind, F.when(kind == "person", given)).alias("block")))
+    left, right = named.toDF("a", "x", "homes_x", "block"), named.toDF("b", "y", "homes_y", "block")
+    met = alike.join(left, "a").join(right, ["b", "block"]).filter((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
+    met = met.filter(~(F.col("within") & F.arrays_overlap("homes_x", "homes_y"))).select("x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -128,3 +128,10 @@ def test_similar_words_have_a_spelling_in_common(a, edits, cut_at):
         if other and alike_core(a, other):
             x, y = L.spellings(a), L.spellings(other)
             assert {k for k, _ in x} & {k for k, whole in y if whole} or {k for k, whole in x if whole} & {k for k, _ in y}
+
+
+def test_no_link_is_lost_to_the_choice_of_owners(spark):
+    # the second agrees with the first and the third, which differ; the first, the heaviest, becomes its only owner
+    names = [*[("a", "KELVAROMI PSYCHIATRY GROUP")] * 9, *[("b", "KELVAROMI PSYCHIATRY CARDIOLOGY GROUP")] * 5, ("c", "KELVAROMI CARDIOLOGY GROUP"), ("d", "KELVAROMI SLEEP GROUP")]
+    n, p = linked(spark, names)
+    assert pairs(n, p) == [("a", "b"), ("a", "c"), ("b", "c")]
