@@ -179,7 +179,7 @@ def flatten(df: DataFrame, ids: Sequence[str], column: str, path: str, repeated:
     return src.mapInArrow(run, ddl).select(*[F.col(n).alias(c) for n, c in zip(names, ids, strict=True)], "path", "kind", "ordinals", "key", "attributes")
 
 
-# What repeats in an item of a price file.
+# What repeats in an item of a price file and in a provider reference.
 RATES = {
     "negotiated_rates": Repeated("rate", True),
     "negotiated_rates.negotiated_prices": Repeated("price", True),
@@ -187,6 +187,7 @@ RATES = {
     "negotiated_rates.provider_groups": Repeated("inline_group", True),
     "negotiated_rates.provider_groups.npi": Repeated("inline_npi", False),
 }
+GROUPS = {"provider_groups": Repeated("group", True), "provider_groups.npi": Repeated("npi", False)}
 SERVICES = {"covered_services": Repeated("covered_service", True, "billing_code")}
 
 
@@ -211,19 +212,20 @@ def parent_path() -> F.Column:
 
 
 def group_npis(provider_references: DataFrame) -> DataFrame:
-    """One row per NPI of provider_references.provider_groups: null groups and NPIs give no row but keep their position."""
+    """Groups and NPIs of provider_references.provider_groups, with path and parent's path: null groups and NPIs give no row but
+    keep their position."""
     provider_references = exact(provider_references, ["file_id", "m", "provider_group_id", "provider_groups"])
-    groups = provider_references.select("file_id", "m", "provider_group_id", F.posexplode("provider_groups").alias("n", "g"))
-    npis = groups.select("file_id", "m", "n", "provider_group_id", F.col("g.tin").alias("tin"), F.posexplode("g.npi").alias("p", "key")).filter("key is not null")
-    path = F.format_string("provider_references[%s].provider_groups[%d].npi[%d]", F.coalesce(F.col("m").cast("string"), F.lit("")), "n", "p")
-    return npis.withColumn("child_path", path).withColumn("parent_path", parent_path())
+    src = provider_references.withColumn("provider_groups", F.to_json("provider_groups"))
+    out = flatten(src, ["file_id", "m", "provider_group_id"], "provider_groups", "provider_groups", GROUPS)
+    out = out.withColumn("child_path", full_path("provider_references", "m"))
+    return out.select("file_id", "m", "provider_group_id", "kind", "child_path", parent_path().alias("parent_path"), "ordinals", "key", "attributes")
 
 
 def children(in_network: DataFrame, provider_references: DataFrame) -> DataFrame:
     """(file_id, child_kind, child_path, child_key) of every child, repeated rows once."""
     kinds = ["price", "reference", "inline_npi", "covered_service"]
     items = item_children(in_network).filter(F.col("kind").isin(kinds)).select("file_id", F.col("kind").alias("child_kind"), "child_path", F.col("key").alias("child_key"))
-    npis = group_npis(provider_references).select("file_id", F.lit("npi").alias("child_kind"), "child_path", F.col("key").alias("child_key"))
+    npis = group_npis(provider_references).filter("kind = 'npi'").select("file_id", F.lit("npi").alias("child_kind"), "child_path", F.col("key").alias("child_key"))
     return items.unionByName(npis).distinct()
 
 

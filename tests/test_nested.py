@@ -6,7 +6,7 @@ from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.sources.nested import RATES, SERVICES, child_rows, children, parse, price_table
+from pricequarry.sources.nested import RATES, SERVICES, child_rows, children, group_npis, parse, price_table
 
 IN_DDL = "file_id string, i long, negotiated_rates string, covered_services string"
 PR_DDL = "file_id string, m long, provider_group_id string, provider_groups array<struct<npi:array<string>,tin:struct<type:string,value:string,business_name:string>>>"
@@ -71,3 +71,13 @@ def test_against_plain_walk(root):
     assert sorted((r[1], tuple(r[2])) for r in rows if r[1] not in ("rate", "inline_group")) == sorted(want)
     services = child_rows(root, SERVICES, "covered_services")
     assert len(services) == sum(isinstance(x, dict) for x in listed(root))
+
+
+def test_groups_of_references_are_rows_with_attributes(spark):
+    refs = [("f", 0, "1", [None, {"npi": ["a", None, ""], "tin": {"type": "ein", "value": "9", "business_name": None}}]), ("f", None, None, [{"npi": ["b"], "tin": None}])]
+    got = sorted((r.kind, r.child_path, r.parent_path, r.key, r.attributes.get("tin")) for r in group_npis(spark.createDataFrame(refs, PR_DDL)).collect())
+    p, q = "provider_references[0].provider_groups[1]", "provider_references[].provider_groups[0]"
+    assert got == [
+        ("group", p, "provider_references[0]", "", '{"type":"ein","value":"9"}'), ("group", q, "provider_references[]", "", None),
+        ("npi", f"{p}.npi[0]", p, "a", None), ("npi", f"{p}.npi[2]", p, "", None), ("npi", f"{q}.npi[0]", q, "b", None),
+    ]
