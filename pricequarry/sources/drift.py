@@ -79,7 +79,7 @@ def record_fields(df: DataFrame, body: str = "body", keys: Sequence[Sequence[str
 
 
 def json_key(values: list) -> str:
-    return "\x1f".join("" if v is None else as_text(v) for v in values)
+    return "\x1f".join(as_text(v) or "" for v in values)
 
 
 def file_order(files: DataFrame) -> DataFrame:

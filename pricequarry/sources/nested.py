@@ -76,28 +76,6 @@ def as_text(v: object) -> str | None:
         return None
 
 
-def listed_at(v: object) -> list:
-    """A list as it is, null as an empty one, any other value as a list of one."""
-    return v if isinstance(v, list) else [] if v is None else [v]
-
-
-@dataclass(frozen=True)
-class Repeated:
-    """A repeated path below a record: its kind, whether its elements are objects, what to read as key."""
-
-    kind: str
-    objects: bool
-    key: str | None = None  # a field of the object; scalars are their own key
-
-
-def as_text(v: object) -> str | None:
-    if v is None:
-        return None
-    if v is True or v is False:
-        return "true" if v else "false"
-    return str(v) if isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
-
-
 def triples(root: object, repeated: Mapping[str, Repeated], path: str = "") -> Iterator[tuple[str, tuple[int, ...], str | None, object]]:
     """(repeated path, ordinals, leaf below it or None for the element itself, value), depth first and without recursion."""
     stack: list[tuple[str, tuple[int, ...], str, object]] = [(path, (), "", root)]

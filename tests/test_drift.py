@@ -81,3 +81,8 @@ def test_lattice():
     assert [promote(frozenset(x)) for x in ((), ("number",), ("boolean",), ("number", "string"), ("boolean", "number"), ("array", "number"))] == [
         "string", "double", "boolean", "string", "string", "array<string>"
     ]
+
+
+def test_lists_of_numbers_in_a_list(spark):
+    (row,) = unified(feed(spark, [("f1", "2030-01-01", ['{"row": 1, "m": [[11, 1.50], 2]}'])]), "anomalies").collect()
+    assert row.m == ["[11,1.50]", "2"]

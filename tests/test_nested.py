@@ -6,7 +6,7 @@ from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.sources.nested import RATES, SERVICES, child_rows, children, group_npis, parse, price_table
+from pricequarry.sources.nested import RATES, SERVICES, as_text, child_rows, children, group_npis, parse, price_table
 
 IN_DDL = "file_id string, i long, negotiated_rates string, covered_services string"
 PR_DDL = "file_id string, m long, provider_group_id string, provider_groups array<struct<npi:array<string>,tin:struct<type:string,value:string,business_name:string>>>"
@@ -81,3 +81,13 @@ def test_groups_of_references_are_rows_with_attributes(spark):
         ("group", p, "provider_references[0]", "", '{"type":"ein","value":"9"}'), ("group", q, "provider_references[]", "", None),
         ("npi", f"{p}.npi[0]", p, "a", None), ("npi", f"{p}.npi[2]", p, "", None), ("npi", f"{q}.npi[0]", q, "b", None),
     ]
+
+
+def test_numbers_in_lists_stay_numbers(spark):
+    items = [("f", 0, '[{"negotiated_prices": {"service_code": [11, 1.50, "x", [2e1]], "billing_code_modifier": {"b": [1], "a": null}}}]', None)]
+    (row,) = price_table(spark.createDataFrame(items, IN_DDL)).collect()
+    assert (row.service_code, row.billing_code_modifier) == ('[11,1.50,"x",[2e1]]', '{"a":null,"b":[1]}')
+    deep: list = []
+    for _ in range(100_000):
+        deep = [deep]
+    assert as_text(deep) is None
