@@ -115,12 +115,31 @@ def headers(df: DataFrame, body: str = "body") -> DataFrame:
     return parts.groupBy(*FILE, "field").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"))
 
 
+def _matched(pairs: pa.Table) -> pa.Table:
+    """The renames among the qualifying pairs of one file: each old field's best new one, of these each new field's best old
+    one, and again among the fields that are left."""
+    ranked = sorted(zip((-n for n in pairs["n_same"].to_pylist()), pairs["old_field"].to_pylist(), pairs["new_field"].to_pylist(), range(len(pairs)), strict=True))
+    keep: list[int] = []
+    while ranked:
+        by_old: dict[str, tuple] = {}
+        for p in ranked:
+            by_old.setdefault(p[1], p)
+        by_new: dict[str, tuple] = {}
+        for p in sorted(by_old.values()):
+            by_new.setdefault(p[2], p)
+        keep += [p[3] for p in by_new.values()]
+        old = {p[1] for p in by_new.values()}
+        ranked = [p for p in ranked if p[1] not in old and p[2] not in by_new]
+    return pairs.take(pa.array(keep, pa.int64())).drop_columns(["n_same"])
+
+
 def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_least: int = 2) -> DataFrame:
     """(feed, record_kind, file_id, change, old_field, new_field) of each file against the one before, by file_date.
 
     change: 'added', 'removed', 'renamed' or 'type_changed' (types differ from the latest earlier file in which the field has
     non-null values). A rename needs ``at_least`` records whose old and new values are both non-null, of which a share of
-    ``agree`` is equal; among rivals for a name the one with most equal values wins. The first file of a feed has no changes.
+    ``agree`` is equal; among rivals for a name the one with most equal values wins, and losers are matched among themselves until
+    no pair is left. The first file of a feed has no changes.
     Repeated records count once; late files stand where their date puts them.
     """
     df = exact(df, [*FILE, body])
@@ -160,9 +179,8 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
     pairs = met.groupBy(*both, "old_field", "new_field")
     pairs = pairs.agg(F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("x") == F.col("y")).alias("n_same"))
     pairs = pairs.filter((F.col("n_same") >= at_least) & (F.col("n_same") >= agree * F.col("n_both")))
-    for side in ("old_field", "new_field"):
-        best = Window.partitionBy(*both, side).orderBy(F.desc("n_same"), "old_field", "new_field")
-        pairs = pairs.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place")
+    # a file's pairs are few: fields removed and added at once whose values agree
+    pairs = pairs.select(*both, "old_field", "new_field", "n_same").groupBy(*both).applyInArrow(_matched, ", ".join(f"{c} string" for c in (*both, "old_field", "new_field")))
     renamed = cut(pairs.select(*both, F.lit("renamed").alias("change"), "old_field", "new_field"))
 
     plus = added.join(renamed.drop("old_field", "change"), [*both, "new_field"], "left_anti")

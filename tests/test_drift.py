@@ -86,3 +86,10 @@ def test_lattice():
 def test_lists_of_numbers_in_a_list(spark):
     (row,) = unified(feed(spark, [("f1", "2030-01-01", ['{"row": 1, "m": [[11, 1.50], 2]}'])]), "anomalies").collect()
     assert row.m == ["[11,1.50]", "2"]
+
+
+def test_losers_of_a_rename_are_matched_too(spark):
+    one = [rec(n, a=1, b=1, c=1, d=n) for n in range(6)]
+    two = [rec(n, x=1, y=1, z=1, e=n, w=-n) for n in range(6)]
+    got = log(feed(spark, [("f1", "2030-01-01", one), ("f2", "2030-02-01", two)]))
+    assert got == [("f2", "added", "", "w"), *[("f2", "renamed", o, n) for o, n in zip("abcd", "xyze", strict=True)]]
