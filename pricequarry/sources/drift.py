@@ -212,7 +212,8 @@ def unified(df: DataFrame, kind: str, body: str = "body", renames: DataFrame | N
     Fields of nested objects are named object.field with the dot as ``__``. A scalar in an array column is a list of one; text
     that is no number can't occur in a double column, since the lattice would have made it text. With ``renames`` (the log of
     ``schema_changes``) fields that were renamed into each other form one column, under the name with most values, first
-    non-null value. Only the names of fields come to the driver; more than ``max_fields`` raises. Repeated records stay.
+    non-null value. Only the names of fields come to the driver; more than ``max_fields`` raises, while any number of renames
+    is taken. Repeated records stay.
     """
     mine = distinct_names(df).filter(F.col("record_kind") == kind)
     found = field_types(mine, body).limit(max_fields + 1).collect()
@@ -229,7 +230,7 @@ def unified(df: DataFrame, kind: str, body: str = "body", renames: DataFrame | N
 
     if renames is not None:
         log = renames.filter((F.col("record_kind") == kind) & (F.col("change") == "renamed")).select("old_field", "new_field").distinct()
-        for a, b in log.limit(max_fields).collect():
+        for a, b in log.toLocalIterator():  # a part at a time; what is kept is bounded by the fields
             if a in head and b in head and root(a) != root(b):
                 low, high = sorted((root(a), root(b)), key=lambda x: (count[x], x))
                 head[low] = high

@@ -93,3 +93,11 @@ def test_losers_of_a_rename_are_matched_too(spark):
     two = [rec(n, x=1, y=1, z=1, e=n, w=-n) for n in range(6)]
     got = log(feed(spark, [("f1", "2030-01-01", one), ("f2", "2030-02-01", two)]))
     assert got == [("f2", "added", "", "w"), *[("f2", "renamed", o, n) for o, n in zip("abcd", "xyze", strict=True)]]
+
+
+def test_any_number_of_renames_is_taken(spark):
+    df = feed(spark, [(f"f{n}", f"2030-01-0{n}", [rec(n, **{f"a{n}": f"t{n}"})]) for n in range(1, 6)])
+    pairs = [(f"a{n}", f"a{n + 1}") for n in range(1, 5)] + [(f"p{n}", f"q{n}") for n in range(200)]
+    renames = spark.createDataFrame([("anomalies", "renamed", a, b) for a, b in pairs], "record_kind string, change string, old_field string, new_field string")
+    t = unified(df, "anomalies", renames=renames, max_fields=6)
+    assert [c for c in t.columns if c.startswith("a")] == ["a5"] and sorted(r.a5 for r in t.collect()) == [f"t{n}" for n in range(1, 6)]
