@@ -44,7 +44,7 @@ def plans(p: DataFrame) -> DataFrame:
 
 def references(p: DataFrame) -> DataFrame:
     """(source, s, f, file_kind, file_id, file_key, description, url) of every entry with a location."""
-    r = p.filter(F.col("kind").isin(list(LISTS.values())) & (F.coalesce(F.col("attributes")["location"], F.lit("")) != ""))
+    r = p.filter(F.col("kind").isin(list(LISTS.values())) & (F.trim(F.coalesce(F.col("attributes")["location"], F.lit(""))) != ""))
     url = F.col("attributes")["location"]
     return r.select("source", "s", F.col("n").alias("f"), F.col("kind").alias("file_kind"), X.file_id(url).alias("file_id"), X.file_key(url).alias("file_key"), _get("description"), url.alias("url"))
 
@@ -72,7 +72,7 @@ def oddities(rows: DataFrame, p: DataFrame, found: DataFrame) -> DataFrame:
     keys = p.select(place.alias("at"), F.explode(F.array_except(F.map_keys("attributes"), known)).alias("key"))
     unknown = keys.select(F.lit("unknown_key").alias("type"), "key", F.concat_ws(".", "at", "key").alias("json_path"))
     top = rows.filter(F.col("idx").isNull() & ~F.col("top_key").isin([*TOP, "_file"])).select(F.lit("unknown_key").alias("type"), F.col("top_key").alias("key"), F.col("top_key").alias("json_path"))
-    blank = p.filter(F.col("kind").isin(list(LISTS.values())) & (F.coalesce(F.col("attributes")["location"], F.lit("")) == ""))
+    blank = p.filter(F.col("kind").isin(list(LISTS.values())) & (F.trim(F.coalesce(F.col("attributes")["location"], F.lit(""))) == ""))
     blank = blank.select(F.lit("blank_location").alias("type"), F.lit("location").alias("key"), place.alias("json_path"))
     conflict = found.filter("kind_conflict").select(F.lit("file_kind_conflict").alias("type"), F.col("file_key").alias("key"), F.lit(None).cast("string").alias("json_path"))
     return unknown.unionByName(top).unionByName(blank).unionByName(conflict)

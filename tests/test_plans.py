@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,19 @@ def test_filters_are_values():
     for bad in ({"counting_unit": "x"}, {"min_tag_confidence": "x"}, {"tag_types": ("x",)}):
         with pytest.raises(ValueError):
             Filters(**bad)
+    with pytest.raises(TypeError):
+        Filters(zz=1)
+    with pytest.raises(AttributeError):
+        f.codes = ()
+    assert pickle.loads(pickle.dumps(f)) == f and dict(f)["states"] == ("TX",) and f.but(states=()) != f and "TX" in repr(f)
+
+
+def test_which_filters_narrow_which():
+    wide = Filters(codes=("a", "b"), search="heal", exclude_zero=False)
+    assert wide.but(codes="a", search=" Health ").narrows(wide) and wide.narrows(wide)
+    for other in ({"codes": ()}, {"codes": ("a", "c")}, {"search": "h"}, {"in_state_only": False}):
+        assert not wide.but(**other).narrows(wide)
+    assert not wide.narrows(wide, {"codes"}) and wide.narrows(wide, {"states"})
 
 
 def test_narrower_filters_keep_fewer_rows(fact):
