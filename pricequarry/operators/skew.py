@@ -46,29 +46,31 @@ def heavy_hitters(df: DataFrame, fields: Sequence[str], share: float, tracked: i
     )
 
 
-def _partials(value: str, distinct: str | None) -> tuple[list[Column], list[Column]]:
-    """Aggregates per (key, salt), and those that merge them per key; sums in decimals, so that order doesn't matter."""
-    v = F.col(value)
-    exact = v.cast("decimal(28,6)")
-    first = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(v).alias("n_values"),
-        F.sum(exact).alias("total"),
-        F.min(v).alias("min_value"),
-        F.max(v).alias("max_value"),
-        F.sum(v * v).alias("squares"),
-    ]
-    merge = [
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n_values").alias("n_values"),
-        F.sum("total").alias("total"),
-        F.min("min_value").alias("min_value"),
-        F.max("max_value").alias("max_value"),
-        F.sum("squares").alias("squares"),
-    ]
-    if distinct:
-        merge.append(F.count_if(F.col("first_of_pair") == 1).alias("n_distinct"))
-    return first, merge
+def _moments(distinct: str | None) -> list[Column]:
+    """Counts, extremes, mean and mean squared distance from it; Spark merges the partial results of tasks as central moments."""
+    v = F.col("v")
+    out = [
+        F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n_values"), F.min(v).alias("min_value"), F.max(v).alias("max_value"), F.avg(v).alias("mean"),
+        (F.var_pop(v) * F.count(v)).alias("m2"),
+    ]
+    return [*out, F.count_distinct("d").alias("n_distinct")] if distinct else out
+
+
+def _merged(salted: DataFrame, by: Sequence[str], distinct: str | None) -> DataFrame:
+    """One row per key from its salts: means and squared distances are merged pair by pair, in the order of the salts, so that
+    nothing cancels; a key has as many rows to merge as there are salts."""
+    part = F.when(F.col("n_values") > 0, F.struct("salt", F.col("n_values").cast("double").alias("n"), "mean", "m2"))
+
+    def chan(x: Column, y: Column) -> Column:
+        n, apart = x["n"] + y["n"], y["mean"] - x["mean"]
+        return F.struct(n.alias("n"), (x["mean"] + apart * y["n"] / n).alias("mean"), (x["m2"] + y["m2"] + apart * apart * x["n"] * y["n"] / n).alias("m2"))
+
+    sums = [F.sum(c).alias(c) for c in ("n_rows", "n_values", *(["n_distinct"] if distinct else []))]
+    out = salted.groupBy(*by).agg(*sums, F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), F.array_sort(F.collect_list(part)).alias("parts"))
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    whole = F.aggregate("parts", zero, chan)
+    out = out.withColumn("whole", F.when(F.size("parts") > 0, whole))
+    return out.select("*", "whole.mean", "whole.m2").drop("parts", "whole")
 
 
 def skewed_key_stats(
@@ -91,25 +93,16 @@ def skewed_key_stats(
             cols.append(F.col(f"`{distinct}`").cast("string").alias("d"))
         rows = df.select(*cols).filter(F.col(KEY).isNotNull())
         hot = F.broadcast(heavy.filter(F.col("key_field") == x).select(KEY, "n_all"))
-        first, merge = _partials("v", distinct)
-        salt = F.pmod(F.xxhash64("d" if distinct else "v"), F.lit(salts))
-        by = [KEY, "n_all", "salt"] + (["d"] if distinct else [])
-        mine = rows.join(hot, KEY).withColumn("salt", salt).groupBy(*by).agg(*first)
-        if distinct:
-            mine = mine.withColumn("first_of_pair", F.col("d").isNotNull().cast("int"))
-            # all of a pair (key, d) share a salt: it is one row by now, and the next step leaves one row per salt
-            mine = mine.groupBy(KEY, "n_all", "salt").agg(*merge)
-            merge = merge[:-1] + [F.sum("n_distinct").alias("n_distinct")]
-        mine = mine.groupBy(KEY, "n_all").agg(*merge).withColumn("is_heavy", F.lit(True))
-        rest = rows.join(hot.drop("n_all"), KEY, "left_anti").groupBy(KEY)
-        rest = rest.agg(*first, *([F.count_distinct("d").alias("n_distinct")] if distinct else []))
+        salt = F.pmod(F.xxhash64("d" if distinct else "v"), F.lit(salts)).alias("salt")
+        # all rows of a pair (key, d) share a salt, so that distinct values add up over salts
+        mine = rows.join(hot, KEY).groupBy(KEY, "n_all", salt).agg(*_moments(distinct))
+        mine = _merged(mine, [KEY, "n_all"], distinct).withColumn("is_heavy", F.lit(True))
+        rest = rows.join(hot.drop("n_all"), KEY, "left_anti").groupBy(KEY).agg(*_moments(distinct))
         rest = rest.withColumn("n_all", F.lit(None).cast("long")).withColumn("is_heavy", F.lit(False))
         out.append(mine.unionByName(rest).withColumn("key_field", F.lit(x)))
     every = reduce(DataFrame.unionByName, out)
-    mean = F.try_divide(F.col("total").cast("double"), F.col("n_values").cast("double"))
-    spread = F.greatest(F.try_divide(F.col("squares"), F.col("n_values").cast("double")) - mean * mean, F.lit(0.0))
-    spread = F.when(F.col("n_values") > 1, F.sqrt(spread * F.col("n_values") / (F.col("n_values") - 1)))
-    keep = ["key_field", KEY, "is_heavy", "n_all", "n_rows", "n_values", mean.alias("avg_value"), "min_value", "max_value", spread.alias("std_value")]
+    spread = F.when(F.col("n_values") > 1, F.sqrt(F.greatest("m2", F.lit(0.0)) / (F.col("n_values") - 1)))
+    keep = ["key_field", KEY, "is_heavy", "n_all", "n_rows", "n_values", F.col("mean").alias("avg_value"), "min_value", "max_value", spread.alias("std_value")]
     return every.select(*keep, *(["n_distinct"] if distinct else []))
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import statistics
 from collections import Counter
 
 import pytest
@@ -60,3 +61,15 @@ def test_long_and_repeated_keys(spark):
 def test_share_must_be_resolvable(spark):
     with pytest.raises(ValueError, match="resolve"):
         heavy_keys(spark.createDataFrame([("a", 1.0)], "a string, v double"), ["a"], "v", 0.0001)
+
+
+def test_moments_dont_cancel_or_overflow(spark):
+    small = [("s", 1e-8 * n, str(n)) for n in range(1, 101)]
+    far = [("f", 1e9 + n % 3, str(n)) for n in range(300)]
+    big = [("b", 1e22 * (1 + n % 2), str(n)) for n in range(100)]
+    df = spark.createDataFrame(small + far + big, "a string, v double, d string")
+    for distinct in ("d", None):
+        got = {r.key_value: r for r in skewed_key_stats(df, ["a"], "v", distinct, heavy_share=0.1, salts=8).collect()}
+        for key, rows_ in (("s", small), ("f", far), ("b", big)):
+            vs = [r[1] for r in rows_]
+            assert got[key].is_heavy and got[key].avg_value == pytest.approx(statistics.fmean(vs), rel=1e-12) and got[key].std_value == pytest.approx(statistics.stdev(vs), rel=1e-6)
