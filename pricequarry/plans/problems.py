@@ -116,8 +116,8 @@ _REASON = (
 
 
 def _loaded_sql(kind: str) -> str:
-    cols = ["trim(f[1])" if kind == "nppes" and n == 0 else f"f[{n + 1}]" for n in range(len(dirty_csv.KINDS[kind]))]
-    cols = ", ".join(f"nullif({c}, '') as {x.name}" for c, x in zip(cols, dirty_csv.KINDS[kind], strict=True))
+    cols = ["trim(f[1], ' ' || chr(9))" if kind == "nppes" and n == 0 else f"f[{n + 1}]" for n in range(len(dirty_csv.KINDS[kind]))]
+    cols = ", ".join((f"try_strptime({c}, '%m/%d/%Y')::date" if x.kind == "date" else f"nullif({c}, '')") + f" as {x.name}" for c, x in zip(cols, dirty_csv.KINDS[kind], strict=True))
     return f"{_LINES} select line_id, {cols} from split where record_kind = '{kind}' and ({_REASON}) is null"
 
 

@@ -1,7 +1,9 @@
 """CSV records of mixed quality: valid rows are loaded, the others kept with the reason for which they fail.
 
-Records are read permissively under an explicit schema of text columns, with the raw text retained; then every record is
-classified by quoting, column count and cast checks, in this order. All of it is built-in expressions, one stage, no shuffle.
+Every record is read permissively under the typed schema of its kind, with its raw text retained where a column is missing, is one
+too many or can't be cast. What is read whole, holds no quote and meets the conditions of its columns is loaded as it is. Only
+the rest is classified again, as text, by quoting, column count and cast checks, in this order; some of it turns out valid, such
+as records with quoted fields. All of it is built-in expressions, one stage, no shuffle.
 
 Quoting is judged on what is left when each quoted stretch, from a quote to the next, becomes one mark. A quote that is left
 has no partner. A mark may stand beside commas, the ends and other marks (a doubled quote inside a field is where two
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +36,34 @@ class Field:
     name: str
     valid: str = "true"
 
+    kind = "string"
 
-def real_date(optional: bool) -> str:
-    shape = r"""(rlike({c}, '\\A[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}\\z') and coalesce(try_to_timestamp({c}, 'MM/dd/yyyy'), null) is not null)"""
-    return f"({{c}} = '' or {shape})" if optional else shape
+    def read_well(self, at: str) -> str:
+        """The condition on the typed value at ``at``."""
+        return self.valid.format(c=f"coalesce({at}, '')")
+
+    def typed(self, text: Column) -> Column:
+        """The typed value of valid text; empty text is null."""
+        return F.nullif(text, F.lit(""))
+
+
+@dataclass(frozen=True)
+class DateField(Field):
+    """A column of real dates as MM/DD/YYYY; null where it may be empty and is."""
+
+    optional: bool = False
+
+    kind = "date"
+
+    def __post_init__(self) -> None:
+        shape = r"(rlike({c}, '\\A[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}\\z') and try_to_timestamp({c}, 'MM/dd/yyyy') is not null)"
+        object.__setattr__(self, "valid", f"({{c}} = '' or {shape})" if self.optional else shape)
+
+    def read_well(self, at: str) -> str:
+        return f"coalesce({at} between date'0001-01-01' and date'9999-12-31', {str(self.optional).lower()})"
+
+    def typed(self, text: Column) -> Column:
+        return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("MM/dd/yyyy")).cast("date")
 
 
 # The two record kinds, their columns in order, and what the columns must hold.
@@ -51,8 +78,8 @@ NPPES = (
     Field("practice_city"),
     Field("practice_state"),
     Field("practice_zip", r"rlike({c}, '\\A([0-9]{{5}}([0-9]{{4}})?)?\\z')"),
-    Field("enumeration_date", real_date(optional=False)),
-    Field("last_update_date", real_date(optional=True)),
+    DateField("enumeration_date"),
+    DateField("last_update_date", optional=True),
 )
 ANOMALIES = (
     Field("step", "{c} in ('index', 'extract', 'nppes')"),
@@ -79,38 +106,53 @@ def judged(left: Column) -> tuple[Column, Column]:
     return whole, F.length(left) - F.length(F.replace(left, F.lit(","), F.lit(""))) + 1
 
 
-OPTIONS = {
+TEXT = {
     "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": NO_NULL, "maxCharsPerColumn": "-1",
     "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE",
 }
+TYPED = TEXT | {"nullValue": "", "dateFormat": "MM/dd/yyyy"}
+
+
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """With further columns, through a generator of one row: they are computed once, not once for every condition that uses them."""
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return rows.select("*", made.alias("_made")).select(*rows.columns, "_made.*")
 
 
 def classified(df: DataFrame, id_col: str, line: str, kind_col: str, kinds: Mapping[str, Sequence[Field]] = KINDS) -> DataFrame:
-    """(id, kind, raw, row_<kind>..., reason): every record once, read under the schema of its kind; reason null: valid.
+    """(id, kind, raw, read_<kind>..., fine, text_<kind>..., reason): every record once. ``read``: as read under the typed schema;
+    ``fine``: loaded so; ``text``: read again as text; reason null: valid.
 
     A null line counts as an empty one: a single empty column. One final carriage return is not data. A kind that isn't known
     is rejected as 'unknown_kind'.
     """
     raw = F.regexp_replace(F.coalesce(F.col("line"), F.lit("")), r"\r\z", "")
     rows = exact(df, [id_col, line, kind_col]).toDF("id", "line", "kind").select("id", F.coalesce("kind", F.lit("")).alias("kind"), raw.alias("raw"))
-    rows = rows.withColumn("left", marked(F.col("raw")))
+    quotes = F.length("raw") - F.length(F.replace("raw", F.lit('"'), F.lit("")))
+
+    def read(kind: str, fields: Sequence[Field], options: dict, typed: bool) -> Column:
+        ddl = ", ".join([*(f"`{f.name}` {f.kind if typed else 'string'}" for f in fields), f"`{CORRUPT}` string"])
+        return F.from_csv(F.translate("raw", SPECIAL, STAND_INS), ddl, options)
+
+    # a quote without a partner would spoil the reader's state for the next line: such a record is kept from it
+    rows = once(rows, **{f"read_{k}": F.when((F.col("kind") == k) & (quotes % 2 == 0), read(k, fields, TYPED, True)) for k, fields in kinds.items()})
+    fine = F.lit(False)
+    for k, fields in kinds.items():
+        whole = F.col(f"read_{k}").isNotNull() & F.col(f"read_{k}.{CORRUPT}").isNull() & ~F.col("raw").contains('"')
+        conditions = [F.expr(f.read_well(f"read_{k}.`{f.name}`")) for f in fields if f.valid != "true"]
+        fine = F.when(F.col("kind") == k, reduce(Column.__and__, [whole, *conditions])).otherwise(fine)
+    rows = once(rows, fine=fine)
+    rows = once(rows, left=F.when(~F.col("fine"), marked(F.col("raw"))))
     whole, columns = judged(F.col("left"))
-    rows = rows.select("*", F.explode(F.array(F.struct(whole.alias("whole"), columns.alias("columns")))).alias("q")).select("id", "kind", "raw", "q.*")
-    parts = []
-    for kind, fields in kinds.items():
-        ddl = ", ".join(f"`{n}` string" for n in [*(f.name for f in fields), CORRUPT])
-        # a line whose quoting is broken would spoil the reader's state for the next one
-        read = F.from_csv(F.translate("raw", SPECIAL, STAND_INS), ddl, OPTIONS)
-        parts.append(F.when((F.col("kind") == kind) & F.col("whole"), read).alias(f"row_{kind}"))
-    # a generator of one row: what is read is computed once, not once for every condition that uses it
-    rows = rows.select("*", F.explode(F.array(F.struct(*parts))).alias("x")).select("id", "kind", "raw", "whole", "columns", "x.*")
+    rows = once(rows, whole=whole, columns=columns)
+    rows = once(rows, **{f"text_{k}": F.when((F.col("kind") == k) & F.col("whole"), read(k, fields, TEXT, False)) for k, fields in kinds.items()})
     reason = F.lit("unknown_kind")
-    for kind, fields in kinds.items():
-        mine = F.when(~F.col("whole"), F.lit("broken_quoting")).when(F.col("columns") != len(fields), F.lit("wrong_column_count"))
+    for k, fields in kinds.items():
+        mine = F.when(F.col("fine"), F.lit(None).cast("string")).when(~F.col("whole"), F.lit("broken_quoting")).when(F.col("columns") != len(fields), F.lit("wrong_column_count"))
         for f in fields:
             if f.valid != "true":
-                mine = mine.when(~F.expr(f.valid.format(c=f"coalesce(row_{kind}.`{f.name}`, '')")), F.lit(f"bad_value:{f.name}"))
-        reason = F.when(F.col("kind") == kind, mine).otherwise(reason)
+                mine = mine.when(~F.expr(f.valid.format(c=f"coalesce(text_{k}.`{f.name}`, '')")), F.lit(f"bad_value:{f.name}"))
+        reason = F.when(F.col("kind") == k, mine).otherwise(reason)
     return rows.withColumn("reason", reason)
 
 
@@ -120,9 +162,15 @@ def rejected(df: DataFrame, id_col: str = "line_id", line: str = "line", kind_co
 
 
 def loaded(df: DataFrame, kind: str, id_col: str = "line_id", line: str = "line", kind_col: str = "record_kind") -> DataFrame:
-    """The valid records of a kind under its schema: text columns, empty fields as null, nppes.npi without blanks."""
+    """The valid records of a kind under its schema: dates as dates, codes and ids as text (an id may begin with 0), empty fields
+    as null, nppes.npi without blanks."""
     fields = KINDS[kind]
     ok = classified(df, id_col, line, kind_col, {kind: fields}).filter("reason is null")
-    cols = [F.nullif(F.translate(f"row_{kind}.{f.name}", STAND_INS, SPECIAL), F.lit("")).alias(f.name) for f in fields]
+    clean = lambda c: F.translate(c, STAND_INS, SPECIAL)
+    cols = []
+    for f in fields:
+        mine = F.col(f"read_{kind}.{f.name}")
+        mine = F.nullif(clean(mine), F.lit("")) if f.kind == "string" else mine
+        cols.append(F.when(F.col("fine"), mine).otherwise(f.typed(clean(F.col(f"text_{kind}.{f.name}")))).alias(f.name))
     out = ok.select(F.col("id").alias(id_col), *cols)
-    return out.withColumn("npi", F.trim("npi")) if kind == "nppes" else out
+    return out.withColumn("npi", F.btrim("npi", F.lit(" \t"))) if kind == "nppes" else out

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
 import io
 
 from conftest import clashing
@@ -74,3 +75,14 @@ def test_round_trip(spark, rows):
     assert len(got) == len(rows)
     for n, r in enumerate(rows):
         assert [got[n][f.name] or "" for f in ANOMALIES][2:5] == r[:3]
+
+
+def test_loaded_values_have_types(spark):
+    plain = "0234567890,2,Org,,,,Street,Town,TX,,01/31/2020,02/29/2024"
+    lines = [plain, plain.replace("0234567890", " 0234567890\t"), GOOD, plain.replace("01/31/2020", '"01/31/2020"').replace("02/29/2024", '""'), plain.replace("2020", "12020")]
+    df = spark.createDataFrame([(n, "nppes", x) for n, x in enumerate(lines)], DDL)
+    got = loaded(df, "nppes").orderBy("line_id").collect()
+    assert dict(loaded(df, "nppes").dtypes)["enumeration_date"] == "date"
+    day, leap = dt.date(2020, 1, 31), dt.date(2024, 2, 29)
+    assert [(r.line_id, r.npi, r.enumeration_date, r.last_update_date) for r in got] == [(0, "0234567890", day, leap), (1, "0234567890", day, leap), (2, "1234567890", day, None), (3, "0234567890", day, None)]
+    assert (got[0].last_name, got[0].practice_zip) == (None, None) and got[2].practice_address_1 == '1 "A" St, 2'
