@@ -64,6 +64,26 @@ def p3_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.price_table(table(spark, sf_dir, "in_network"))
 
 
+def p3_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat reference table."""
+    return nested.reference_table(table(spark, sf_dir, "in_network"))
+
+
+def p3_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat covered-service table."""
+    return nested.service_table(table(spark, sf_dir, "in_network"))
+
+
+def p3_npis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat NPI table."""
+    return nested.npi_table(table(spark, sf_dir, "in_network"), table(spark, sf_dir, "provider_references"))
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of groups, parents of the NPIs."""
+    return nested.group_table(table(spark, sf_dir, "in_network"), table(spark, sf_dir, "provider_references"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows added, removed and changed in negotiated_rate between consecutive snapshots."""
     c = snapshot_changes(table(spark, sf_dir, "rates_npi_dedup"), "snapshot_date", KEYS, "negotiated_rate", "loaded_at")
@@ -87,7 +107,7 @@ def p6_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_stats, p2_found, p2_fields, p2_rates, p2_anomalies, p3_found, p3_prices, p5_found, p6_found, p6_nppes, p6_anomalies)
+    for f in (p1_found, p1_stats, p2_found, p2_fields, p2_rates, p2_anomalies, p3_found, p3_prices, p3_references, p3_services, p3_npis, p3_groups, p5_found, p6_found, p6_nppes, p6_anomalies)
 }
 
 _FIELD = r'("(?:[^"]|"")*"|[^",]*)'
@@ -193,6 +213,18 @@ _P3_PRICES = f"""{_P3} select distinct file_id, format('in_network[{{}}].negotia
 v->>'$.negotiated_type' as negotiated_type, v->>'$.negotiated_rate' as negotiated_rate, v->>'$.expiration_date' as expiration_date, v->>'$.billing_class' as billing_class, v->>'$.setting' as setting,
 v->>'$.service_code' as service_code, v->>'$.billing_code_modifier' as billing_code_modifier, v->>'$.additional_information' as additional_information from price where {_OBJ.format("v")}"""
 
+_RATE_AT, _GROUP_AT = "format('in_network[{}].negotiated_rates[{}]', i, j)", "format('provider_references[{}].provider_groups[{}]', m, n)"
+_INLINE_AT = "format('in_network[{}].negotiated_rates[{}].provider_groups[{}]', i, j, n)"
+_P3_REFERENCES = f"{_P3} select distinct file_id, {_RATE_AT} || '.provider_references[' || k || ']' as child_path, {_RATE_AT} as parent_path, v->>'$' as provider_group_id from ref where {_SCALAR.format('v')}"
+_P3_SERVICES = f"""{_P3} select distinct file_id, format('in_network[{{}}].covered_services[{{}}]', i, c) as child_path, format('in_network[{{}}]', i) as parent_path, v->>'$.billing_code_type' as billing_code_type,
+v->>'$.billing_code_type_version' as billing_code_type_version, v->>'$.billing_code' as billing_code, v->>'$.description' as description from svc where {_OBJ.format("v")}"""
+_P3_NPIS = f"""{_P3} select distinct * from (
+select file_id, {_INLINE_AT} || '.npi[' || p || ']' as child_path, {_INLINE_AT} as parent_path, 'inline_npi' as kind, v->>'$' as npi from inp where {_SCALAR.format("v")}
+union all select file_id, {_GROUP_AT} || '.npi[' || p || ']', {_GROUP_AT}, 'npi', v from np where v is not null)"""
+_P3_GROUPS = f"""{_P3} select distinct * from (
+select file_id, {_INLINE_AT} as child_path, {_RATE_AT} as parent_path, 'inline_group' as kind, g->>'$.tin.type' as tin_type, g->>'$.tin.value' as tin_value, g->>'$.tin.business_name' as tin_business_name from grp
+union all select file_id, {_GROUP_AT}, format('provider_references[{{}}]', m), 'group', g.tin.type, g.tin.value, g.tin.business_name from pg where g is not null)"""
+
 SQL = {
     "p1_found": """
 select key_field, key_value from (
@@ -209,6 +241,10 @@ where key_value is not null group by 1, 2""",
     "p2_fields": _P2_FIELDS,
     "p3_found": _P3_FOUND,
     "p3_prices": _P3_PRICES,
+    "p3_references": _P3_REFERENCES,
+    "p3_services": _P3_SERVICES,
+    "p3_npis": _P3_NPIS,
+    "p3_groups": _P3_GROUPS,
     "p5_found": """
 with last as (
   select cast(snapshot_date as date) as d, tin_value, npi, billing_code, billing_class, arg_max_null(negotiated_rate, (loaded_at, coalesce(negotiated_rate, -1e300))) as v

@@ -1,14 +1,17 @@
 """Deeply nested records as related flat tables.
 
-A record is parsed into triples (path, ordinals, value): the path has ``[]`` for each list position, the ordinals hold those
-positions. Triples are grouped by their nearest repeated ancestor, which is one child row, and its leaves are pivoted into
-that row's attributes. Which paths repeat is declared, so that a lone value in place of a list is a list of one, and like
-named keys elsewhere in a record give no rows. All of it happens within the record: no shuffle, memory of one record.
+A record's text is read as a stream of triples (path, ordinals, value): the path names the repeated ancestors, the ordinals
+hold the position in each. Only declared paths are descended; what lies below or beside them is one leaf, and no more than a
+leaf is ever held as a value, however large the record. Triples are grouped by their nearest repeated ancestor, which is one
+child row, and its leaves are pivoted into that row's attributes; each kind of rows is then a table of its own. That paths are
+declared also makes a lone value in place of a list a list of one, and like named keys elsewhere in a record give no rows. All
+of it happens within the record: no shuffle.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 from pricequarry.functions.columns import exact
 
 
@@ -76,24 +78,91 @@ def as_text(v: object) -> str | None:
         return None
 
 
-def triples(root: object, repeated: Mapping[str, Repeated], path: str = "") -> Iterator[tuple[str, tuple[int, ...], str | None, object]]:
-    """(repeated path, ordinals, leaf below it or None for the element itself, value), depth first and without recursion."""
-    stack: list[tuple[str, tuple[int, ...], str, object]] = [(path, (), "", root)]
-    while stack:
-        at, ordinals, leaf, v = stack.pop()
-        full = f"{at}.{leaf}" if leaf and at else leaf or at
-        if (rule := repeated.get(full)) is not None and (leaf or at == path == full):
-            for n, x in reversed(list(enumerate(listed_at(v)))):
-                if x is None or isinstance(x, dict) != rule.objects or (not rule.objects and isinstance(x, list)):
-                    continue
-                here = (*ordinals, n)
-                if rule.objects:
-                    stack.extend((full, here, k, y) for k, y in reversed(list(x.items())))
-                stack.append((full, here, "\0", x))
-        elif leaf == "\0":
-            yield at, ordinals, None, v
-        elif leaf:
-            yield at, ordinals, leaf, v
+SPACE = re.compile(r"[ \t\r\n]*")
+KEY = re.compile(r'"((?:[^"\\\x00-\x1f]|\\.)*)"[ \t\r\n]*:[ \t\r\n]*')
+AFTER = re.compile(r"[ \t\r\n]*([,\]}])[ \t\r\n]*")
+BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]')
+SCAN = json.JSONDecoder(parse_int=Number, parse_float=Number, parse_constant=Number).scan_once
+SELF, TWICE = "\0self", "\0twice"
+
+
+def leaf_at(text: str, at: int) -> tuple[object, int]:
+    """The value that begins at ``at`` and where it ends; one nested too deeply for the decoder is its own text."""
+    try:
+        return SCAN(text, at)
+    except StopIteration:
+        raise ValueError(f"no value at {at}") from None
+    except RecursionError:
+        depth = 0
+        for m in BRACKETS.finditer(text, at):
+            depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(m.group(), 0)
+            if not depth:
+                return text[at : m.end()], m.end()
+        raise ValueError(f"a value that begins at {at} isn't closed") from None
+
+
+def _after(text: str, at: int, closing: str) -> tuple[int, bool]:
+    m = AFTER.match(text, at)
+    if not m or m.group(1) not in ("," + closing):
+        raise ValueError(f"neither ',' nor '{closing}' at {at}")
+    return m.end() if m.group(1) == "," else m.end(1), m.group(1) != ","
+
+
+class Walk:
+    """Reads triples (repeated path, ordinals, leaf below it, value) from the text of a record, in document order.
+
+    The element itself comes as leaf SELF before what is below it. A repeated key that stands twice in an object is announced
+    as TWICE before its second list, which replaces the first.
+    """
+
+    def __init__(self, repeated: Mapping[str, Repeated]) -> None:
+        self.repeated = repeated
+
+    def triples(self, text: str, path: str) -> Iterator[tuple[str, tuple[int, ...], str, object]]:
+        at = yield from self._listed(text, SPACE.match(text).end(), path, ())
+        if SPACE.match(text, at).end() < len(text):
+            raise ValueError(f"text after the value at {at}")
+
+    def _listed(self, text: str, at: int, path: str, ordinals: tuple[int, ...]):
+        if text[at : at + 1] != "[":
+            return (yield from self._element(text, at, path, (*ordinals, 0)))
+        at = SPACE.match(text, at + 1).end()
+        if text[at : at + 1] == "]":
+            return at + 1
+        n, ended = 0, False
+        while not ended:
+            at = yield from self._element(text, at, path, (*ordinals, n))
+            at, ended = _after(text, at, "]")
+            n += 1
+        return at
+
+    def _element(self, text: str, at: int, path: str, here: tuple[int, ...]):
+        rule = self.repeated[path]
+        if not rule.objects or text[at : at + 1] != "{":
+            v, at = leaf_at(text, at)
+            if not rule.objects and v is not None and not isinstance(v, (dict, list)):
+                yield path, here, SELF, v
+            return at
+        yield path, here, SELF, None
+        at = SPACE.match(text, at + 1).end()
+        if text[at : at + 1] == "}":
+            return at + 1
+        ended, met = False, set()
+        while not ended:
+            if not (m := KEY.match(text, at)):
+                raise ValueError(f"no key at {at}")
+            key = json.loads(f'"{m.group(1)}"') if "\\" in m.group(1) else m.group(1)
+            below = f"{path}.{key}"
+            if below in self.repeated:
+                if below in met:
+                    yield below, here, TWICE, None
+                met.add(below)
+                at = yield from self._listed(text, m.end(), below, here)
+            else:
+                v, at = leaf_at(text, m.end())
+                yield path, here, key, v
+            at, ended = _after(text, at, "}")
+        return at
 
 
 OUT = pa.schema(
@@ -108,25 +177,39 @@ OUT = pa.schema(
 )
 
 
-def child_rows(root: object, repeated: Mapping[str, Repeated], path: str) -> list[tuple]:
-    """(path, kind, ordinals, key, attributes) of every repeated element, in document order."""
+UNREADABLE = "unreadable"
+
+
+def child_rows(text: str | None, repeated: Mapping[str, Repeated], path: str) -> list[tuple]:
+    """(path, kind, ordinals, key, attributes) of every repeated element, in document order; of text that isn't JSON one row of
+    the kind UNREADABLE, with the reason as key."""
+    if not text or text.isspace():
+        return []
     rows: dict[tuple, list] = {}
-    for at, ordinals, leaf, v in triples(root, repeated, path):
-        rule = repeated[at]
-        if leaf is None:
-            rows[at, ordinals] = [at, rule.kind, list(ordinals), "" if rule.objects else as_text(v) or "", {}]
-        elif (row := rows.get((at, ordinals))) is not None:
-            row[4][leaf] = as_text(v)
-            if leaf == rule.key:
-                row[3] = as_text(v) or ""
+    try:
+        for at, ordinals, leaf, v in Walk(repeated).triples(text, path):
+            rule = repeated[at]
+            if leaf == SELF:
+                rows[at, ordinals] = [at, rule.kind, list(ordinals), "" if rule.objects else as_text(v) or "", {}]
+            elif leaf == TWICE:
+                for k in [k for k in rows if (k[0] == at or k[0].startswith(f"{at}.")) and k[1][: len(ordinals)] == ordinals]:
+                    del rows[k]
+            else:
+                row = rows[at, ordinals]
+                row[4][leaf] = as_text(v)
+                if leaf == rule.key:
+                    row[3] = as_text(v) or ""
+    except ValueError as e:
+        return [(path, UNREADABLE, [], str(e), {})]
     return [tuple(r) for r in rows.values()]
 
 
 def flatten(df: DataFrame, ids: Sequence[str], column: str, path: str, repeated: Mapping[str, Repeated]) -> DataFrame:
     """One row per repeated element of the JSON text in ``column``: ids, path, kind, ordinals, key, attributes.
 
-    Null, blank or malformed text gives no row, nulls and elements of the wrong shape give none but keep their position; a
-    record that stands twice gives its rows twice. Number text is kept as it stands.
+    Null or blank text gives no row, malformed text one of the kind 'unreadable' with the reason as key; nulls and elements of
+    the wrong shape give none but keep their position; of a key that stands twice in an object the last counts; a record that
+    stands twice gives its rows twice. Number text is kept as it stands; a leaf nested too deeply for the decoder is its text.
     """
     names = [f"id{n}" for n in range(len(ids))]
     df = exact(df, [*ids, column])
@@ -137,7 +220,7 @@ def flatten(df: DataFrame, ids: Sequence[str], column: str, path: str, repeated:
         for batch in batches:
             bodies, at, rows = batch.column(len(names)).to_pylist(), [], []
             for n, text in enumerate(bodies):
-                for row in child_rows(parse(text), repeated, path):
+                for row in child_rows(text, repeated, path):
                     at.append(n)
                     rows.append(row)
                 if len(rows) >= 20_000:
@@ -207,9 +290,39 @@ def children(in_network: DataFrame, provider_references: DataFrame) -> DataFrame
     return items.unionByName(npis).distinct()
 
 
+def pivoted(rows: DataFrame, kinds: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One table of the rows of some kinds: position path, parent's path and the named attributes as columns, repeated rows once."""
+    return rows.filter(F.col("kind").isin(list(kinds))).select("file_id", "child_path", "parent_path", *[F.col("attributes")[x].alias(x) for x in names], "kind", "key").distinct()
+
+
 def price_table(in_network: DataFrame) -> DataFrame:
     """The price rows with their attributes as columns (lists as JSON text), keyed by position path."""
-    a = lambda x: F.col("attributes")[x].alias(x)
     names = ["negotiated_type", "negotiated_rate", "expiration_date", "billing_class", "setting", "service_code", "billing_code_modifier", "additional_information"]
-    rows = item_children(in_network).filter("kind = 'price'")
-    return rows.select("file_id", "child_path", "parent_path", *[a(x) for x in names]).distinct()
+    return pivoted(item_children(in_network), ["price"], names).drop("kind", "key")
+
+
+def reference_table(in_network: DataFrame) -> DataFrame:
+    """The references of rates to groups: the id, and the path of the rate it stands in."""
+    return pivoted(item_children(in_network), ["reference"], []).drop("kind").withColumnRenamed("key", "provider_group_id")
+
+
+def service_table(in_network: DataFrame) -> DataFrame:
+    """The covered services of items."""
+    return pivoted(item_children(in_network), ["covered_service"], ["billing_code_type", "billing_code_type_version", "billing_code", "description"]).drop("kind", "key")
+
+
+def npi_table(in_network: DataFrame, provider_references: DataFrame) -> DataFrame:
+    """The NPIs of groups, inside rates and in references, with the path of the group (see ``group_table``)."""
+    rows = item_children(in_network).select(*CHILD).unionByName(group_npis(provider_references).select(*CHILD))
+    return pivoted(rows, ["inline_npi", "npi"], []).withColumnRenamed("key", "npi")
+
+
+def group_table(in_network: DataFrame, provider_references: DataFrame) -> DataFrame:
+    """The groups inside rates and in references with their TIN."""
+    rows = item_children(in_network).select(*CHILD).unionByName(group_npis(provider_references).select(*CHILD))
+    out = pivoted(rows, ["inline_group", "group"], ["tin"]).drop("key")
+    part = lambda x: F.get_json_object("tin", f"$.{x}").alias(f"tin_{x}")
+    return out.select("file_id", "child_path", "parent_path", "kind", part("type"), part("value"), part("business_name"))
+
+
+CHILD = ["file_id", "kind", "child_path", "parent_path", "key", "attributes"]

@@ -6,7 +6,7 @@ from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.sources.nested import RATES, SERVICES, as_text, child_rows, children, group_npis, parse, price_table
+from pricequarry.sources.nested import RATES, SERVICES, Number, as_text, child_rows, children, flatten, group_npis, group_table, npi_table, parse, price_table, reference_table, service_table
 
 IN_DDL = "file_id string, i long, negotiated_rates string, covered_services string"
 PR_DDL = "file_id string, m long, provider_group_id string, provider_groups array<struct<npi:array<string>,tin:struct<type:string,value:string,business_name:string>>>"
@@ -31,7 +31,7 @@ def test_positions_lone_values_and_wrong_shapes(spark):
 
 
 def test_number_text_is_kept():
-    rows = child_rows(parse('[{"provider_references": [1e2, 1.50, 100000000000000000001]}]'), RATES, "negotiated_rates")
+    rows = child_rows('[{"provider_references": [1e2, 1.50, 100000000000000000001]}]', RATES, "negotiated_rates")
     assert [r[3] for r in rows if r[1] == "reference"] == ["1e2", "1.50", "100000000000000000001"]
 
 
@@ -67,9 +67,9 @@ def test_against_plain_walk(root):
             for n, g in enumerate(listed(rate.get("provider_groups"))):
                 if isinstance(g, dict):
                     want += [("inline_npi", (j, n, p)) for p, x in enumerate(listed(g.get("npi"))) if scalar(x)]
-    rows = child_rows(root, RATES, "negotiated_rates")
+    rows = child_rows(json.dumps(root), RATES, "negotiated_rates")
     assert sorted((r[1], tuple(r[2])) for r in rows if r[1] not in ("rate", "inline_group")) == sorted(want)
-    services = child_rows(root, SERVICES, "covered_services")
+    services = child_rows(json.dumps(root, indent=1), SERVICES, "covered_services")
     assert len(services) == sum(isinstance(x, dict) for x in listed(root))
 
 
@@ -91,3 +91,39 @@ def test_numbers_in_lists_stay_numbers(spark):
     for _ in range(100_000):
         deep = [deep]
     assert as_text(deep) is None
+
+
+def test_records_are_read_as_streams():
+    deep = "[" * 50_000 + '"]"' + "]" * 50_000
+    text = f'[{{"negotiated_prices": [{{"additional_information": {deep}, "setting": "x"}}]}}]'
+    (_, price) = child_rows(text, RATES, "negotiated_rates")
+    assert price[4] == {"additional_information": deep, "setting": "x"}
+    twice = '[{"negotiated_prices": [{"a": 1}, {"a": 2}], "provider_references": [1], "negotiated_prices": [{"a": 3, "a": 4}]}, {"negotiated_prices": {"a": 5}}]'
+    assert [(r[1], r[2], r[4].get("a")) for r in child_rows(twice, RATES, "negotiated_rates")] == [("rate", [0], None), ("reference", [0, 0], None), ("price", [0, 0], "4"), ("rate", [1], None), ("price", [1, 0], "5")]
+    assert child_rows('{"negotiated\\u005fprices": {"\\"a\\\\": NaN}}', RATES, "negotiated_rates")[1][4] == {'"a\\': "NaN"}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from('[]{},:"\\ na1'), max_size=12) | st.recursive(LEAF, lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from(["negotiated_prices", "x"]), x, max_size=2)).map(lambda v: json.dumps(v)[:-1]))
+def test_what_is_no_json_is_told(text):
+    rows = child_rows(text, RATES, "negotiated_rates")
+    try:
+        json.loads(text)
+    except ValueError:
+        assert not text.strip() or [r[1] for r in rows] == ["unreadable"]
+    else:
+        assert "unreadable" not in [r[1] for r in rows]
+
+
+def test_each_kind_is_a_table(spark):
+    rates = [{"provider_references": ["7", None], "provider_groups": [{"npi": [1], "tin": {"type": "ein", "value": 12}}]}]
+    items = spark.createDataFrame([("f", 0, json.dumps(rates), json.dumps([{"billing_code": "A", "x": 1}, 5])), ("g", 0, "{", "[1")], IN_DDL)
+    refs = spark.createDataFrame([("f", 2, "7", [{"npi": ["b"], "tin": None}])], PR_DDL)
+    p = "in_network[0].negotiated_rates[0]"
+    assert [tuple(r) for r in reference_table(items).collect()] == [("f", f"{p}.provider_references[0]", p, "7")]
+    assert [tuple(r) for r in service_table(items).collect()] == [("f", "in_network[0].covered_services[0]", "in_network[0]", None, None, "A", None)]
+    q = "provider_references[2].provider_groups[0]"
+    assert sorted(tuple(r) for r in npi_table(items, refs).collect()) == [("f", f"{p}.provider_groups[0].npi[0]", f"{p}.provider_groups[0]", "inline_npi", "1"), ("f", f"{q}.npi[0]", q, "npi", "b")]
+    assert sorted((r.child_path, r.kind, r.tin_type, r.tin_value) for r in group_table(items, refs).collect()) == [(f"{p}.provider_groups[0]", "inline_group", "ein", "12"), (q, "group", None, None)]
+    told = flatten(items, ["file_id"], "negotiated_rates", "negotiated_rates", RATES).filter("kind = 'unreadable'").collect()
+    assert [(r.file_id, bool(r.key)) for r in told] == [("g", True)] and isinstance(parse("1.0"), Number)
