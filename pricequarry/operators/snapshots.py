@@ -1,22 +1,27 @@
 """What changed between consecutive full snapshots of a table.
 
-Every key gets a persistent ordinal within its shard (a hash of the key): keys are numbered in the order of the snapshot that
-first had them, then by key, so that a later snapshot only appends. Ordinals are cut into containers of 65,536. A container
-holds, per snapshot, a compressed bitmap of the ordinals present (a sorted 16-bit array while sparse, packed bits when dense)
-and a vector of values aligned with the ordinals. AND-NOT of two bitmaps gives additions and removals, AND the common keys,
-whose vectors are compared. Only ordinals, dates and values go to Python; keys come back by a join on (shard, ordinal).
+A state in a folder holds two tables. The dictionary gives every key an ordinal within its shard (a hash of the key), once and
+for all: keys that a further snapshot brings are numbered after those that are there, wherever its date stands among the
+others. Ordinals are cut into containers of 65,536; per snapshot and container the state has a compressed bitmap of the ordinals
+present (a sorted 16-bit array while sparse, packed bits when dense) and a vector of values aligned with them. AND-NOT of the
+bitmaps of two dates gives additions and removals, AND the common keys, whose vectors are compared. A further snapshot reads
+itself, the dictionary and the containers of its neighbours in time, nothing else of the history. Only ordinals and values go
+to Python, a container of one snapshot at a time; keys come back by a join on (shard, ordinal).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricequarry.functions.columns import exact
+from pricequarry.session import cut, exists, fresh_folder
 
 CONTAINER = 1 << 16
 SPARSE = 4096
@@ -59,48 +64,127 @@ class Bitmap:
             return self.few[~other.has(self.few)]
         return np.flatnonzero(np.unpackbits(self.bits & ~other._bits())).astype(np.uint16)
 
+    def dump(self) -> bytes:
+        return b"f" + self.few.astype("<u2").tobytes() if self.few is not None else b"b" + self.bits.tobytes()
+
+    @classmethod
+    def load(cls, data: bytes) -> Bitmap:
+        return cls(few=np.frombuffer(data, "<u2", offset=1)) if data[:1] == b"f" else cls(bits=np.frombuffer(data, np.uint8, offset=1))
+
     def both(self, other: Bitmap) -> np.ndarray:
         if self.few is not None:
             return self.few[other.has(self.few)]
         return np.flatnonzero(np.unpackbits(self.bits & other._bits())).astype(np.uint16)
 
 
-def _container_changes(tolerance: float):
-    def changes(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        shard, container = key
-        out: list[tuple[np.ndarray, int, str]] = []
-        before: tuple[Bitmap, np.ndarray] | None = None
-        at = dict(iter(group.groupby("seq", sort=True)))
-        for seq in range(int(group["seq"].min()), int(group["n_seq"].iloc[0]) + 1):
-            rows = at.get(seq)
-            low = rows["low"].to_numpy(np.int64) if rows is not None else np.empty(0, np.int64)
-            present = Bitmap.of(low)
-            vector = np.full(CONTAINER, np.nan)
-            if rows is not None:
-                vector[low] = rows["value"].to_numpy(np.float64, na_value=np.nan)
-            if before is None:
-                out.append((present.numbers(), seq, "added"))
-            else:
-                out.append((present.and_not(before[0]), seq, "added"))
-                out.append((before[0].and_not(present), seq, "removed"))
-                common = present.both(before[0])
-                x, y = before[1][common], vector[common]
-                differ = (np.isnan(x) != np.isnan(y)) | (np.abs(x - y) >= tolerance - 1e-10)
-                out.append((common[differ], seq, "changed"))
-            before = (present, vector)
-        out = [x for x in out if len(x[0]) and x[1] > 1]
-        n = [len(low) for low, _, _ in out]
-        low = np.concatenate([low for low, _, _ in out]) if out else np.empty(0)
-        return pd.DataFrame(
-            {
-                "shard": np.full(sum(n), shard, np.int32),
-                "ordinal": container * CONTAINER + low.astype(np.int64),
-                "seq": np.repeat(np.array([s for _, s, _ in out], np.int32), n),
-                "change": pd.Series(np.repeat(np.array([c for _, _, c in out], object), n), dtype=object),
-            }
-        )
+def _encoded(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """The bitmap and the vector of one container of one snapshot."""
+    group = group.sort_values("low")
+    low, values = group["low"].to_numpy(np.int64), group["value"].to_numpy(np.float64, na_value=np.nan)
+    return pd.DataFrame([[*key, Bitmap.of(low).dump(), values.astype("<f8").tobytes()]], columns=["snap", "shard", "container", "bitmap", "vector"])
+
+
+EMPTY = (Bitmap.of(np.empty(0, np.int64)), np.empty(0))
+FOUND = pa.schema([("snap", pa.date32()), ("shard", pa.int32()), ("ordinal", pa.int64()), ("change", pa.string())])
+
+
+def container_changes(before: tuple[Bitmap, np.ndarray], after: tuple[Bitmap, np.ndarray], tolerance: float) -> list[tuple[str, np.ndarray]]:
+    """(change, ordinals in the container) between the same container of two snapshots."""
+    (old, x), (new, y) = before, after
+    common = new.both(old)
+    u, v = x[np.searchsorted(old.numbers(), common)], y[np.searchsorted(new.numbers(), common)]
+    differ = (np.isnan(u) != np.isnan(v)) | (np.abs(u - v) >= tolerance - 1e-10)
+    return [("added", new.and_not(old)), ("removed", old.and_not(new)), ("changed", common[differ])]
+
 
-    return changes
+class SnapshotState:
+    """The dictionary and the containers of all snapshots taken so far, in a folder that all executors share.
+
+    ``shards`` is settled when a state is begun, by default from the size of its first snapshots, and kept from then on.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], tolerance: float = 0.005, shards: int | None = None) -> None:
+        self.spark, self.folder, self.keys, self.tolerance, self.shards = spark, folder.rstrip("/"), list(keys), tolerance, shards
+        self.ks = [f"k{i}" for i in range(len(keys))]
+        if exists(spark, f"{self.folder}/meta"):
+            meta = spark.read.json(f"{self.folder}/meta").first()
+            if list(meta["keys"]) != self.keys:
+                raise ValueError(f"a state of other keys: {list(meta['keys'])}")
+            self.shards = meta["shards"]
+
+    def _read(self, name: str) -> DataFrame | None:
+        path = f"{self.folder}/{name}"
+        return self.spark.read.parquet(path) if exists(self.spark, path) else None
+
+    def dates(self) -> list[dt.date]:
+        """The dates taken so far, in order."""
+        stored = self._read("containers")
+        return sorted(r.snap for r in stored.select("snap").distinct().collect()) if stored is not None else []
+
+    def _begin(self, rows: DataFrame) -> None:
+        if self.shards is None:
+            size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            self.shards = max(64, 1 << min(16, (size >> 28).bit_length()))
+        meta = self.spark.createDataFrame([(self.shards, self.keys)], "shards int, keys array<string>")
+        meta.coalesce(1).write.json(f"{self.folder}/meta")
+
+    def add(self, rows: DataFrame) -> None:
+        """Takes the snapshots of ``rows`` (snap, k0..., value), one row per key and date (``latest_rows``). A date that is there
+        already is replaced. Keys keep their ordinals."""
+        if not exists(self.spark, f"{self.folder}/meta"):
+            self._begin(rows)
+        per_key = rows.groupBy(*self.ks).agg(F.min("snap").alias("first"), F.collect_list(F.struct("snap", "value")).alias("versions"))
+        per_key = per_key.withColumn("shard", F.pmod(F.xxhash64(*self.ks), F.lit(self.shards)).cast("int"))
+        known = self._read("keys")
+        if known is None:
+            fresh, placed = per_key, None
+            offset = None
+        else:
+            same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("shard", *self.ks)]
+            both = cut(per_key.alias("a").join(known.alias("b"), same, "left").select("a.*", "b.ordinal"))
+            fresh, placed = both.filter("ordinal is null").drop("ordinal"), both.filter("ordinal is not null")
+            offset = known.groupBy("shard").agg((F.max("ordinal") + 1).alias("offset"))  # a row per shard
+        place = F.row_number().over(Window.partitionBy("shard").orderBy("first", *self.ks)).cast("long") - 1
+        fresh = fresh.withColumn("ordinal", place)
+        if offset is not None:
+            fresh = fresh.join(F.broadcast(offset), "shard", "left").withColumn("ordinal", F.col("ordinal") + F.coalesce("offset", F.lit(0))).drop("offset")
+        fresh = cut(fresh)
+        fresh.select("shard", "ordinal", *self.ks).write.mode("append").parquet(f"{self.folder}/keys")
+        numbered = fresh if placed is None else fresh.unionByName(placed)
+        versions = numbered.select("shard", "ordinal", F.explode("versions").alias("x")).select(
+            F.col("x.snap").alias("snap"), "shard", F.expr(f"ordinal div {CONTAINER}").alias("container"), F.expr(f"ordinal % {CONTAINER}").cast("int").alias("low"), F.col("x.value").alias("value")
+        )
+        made = versions.groupBy("snap", "shard", "container").applyInPandas(_encoded, "snap date, shard int, container long, bitmap binary, vector binary")
+        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snap").parquet(f"{self.folder}/containers")
+
+    def changes(self, dates: Sequence[dt.date] | None = None) -> DataFrame:
+        """(snapshot_date, keys..., change) for each pair of consecutive dates, or for those with one of ``dates`` in them."""
+        every = self.dates()
+        pairs = [(a, b) for a, b in zip(every, every[1:], strict=False) if dates is None or a in dates or b in dates]
+        stored, known = self._read("containers"), self._read("keys")
+        if not pairs or stored is None:
+            ddl = f"snapshot_date date, {', '.join(f'`{k}` string' for k in self.keys)}, change string"
+            return self.spark.createDataFrame([], ddl)
+        steps = self.spark.createDataFrame(pairs, "before date, snap date")  # a row per date, so it is small
+        blob = lambda p: [F.col("bitmap").alias(f"{p}_bitmap"), F.col("vector").alias(f"{p}_vector")]
+        used = stored.filter(F.col("snap").isin(sorted({d for p in pairs for d in p})))
+        new = used.join(F.broadcast(steps.select("snap")), "snap").select("snap", "shard", "container", *blob("new"))
+        old = used.withColumnRenamed("snap", "before").join(F.broadcast(steps), "before").select("snap", "shard", "container", *blob("old"))
+        met = new.join(old, ["snap", "shard", "container"], "full")
+        tolerance = self.tolerance
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in (r for n in range(batch.num_rows) for r in batch.slice(n, 1).to_pylist()):
+                    new, old = ((Bitmap.load(r[f"{p}_bitmap"]), np.frombuffer(r[f"{p}_vector"], "<f8")) if r[f"{p}_bitmap"] is not None else EMPTY for p in ("new", "old"))
+                    for change, low in container_changes(old, new, tolerance):
+                        n = len(low)
+                        cols = [pa.array([r["snap"]] * n, pa.date32()), pa.array(np.full(n, r["shard"], np.int32)), pa.array(r["container"] * CONTAINER + low.astype(np.int64)), pa.array([change] * n, pa.string())]
+                        yield pa.RecordBatch.from_arrays(cols, schema=FOUND)
+
+        found = met.mapInArrow(run, "snap date, shard int, ordinal long, change string")
+        named = found.join(known, ["shard", "ordinal"])
+        return named.select(F.col("snap").alias("snapshot_date"), *[F.col(a).alias(b) for a, b in zip(self.ks, self.keys, strict=True)], "change")
 
 
 def latest_rows(df: DataFrame, snapshot: str, keys: Sequence[str], value: str, loaded: str) -> DataFrame:
@@ -119,47 +203,25 @@ def latest_rows(df: DataFrame, snapshot: str, keys: Sequence[str], value: str, l
     )
 
 
-def key_ordinals(rows: DataFrame, ks: Sequence[str], shards: int) -> DataFrame:
-    """(shard, ordinal, keys..., versions): the dictionary of keys, from ``latest_rows``.
-
-    Ordinals are persistent: keys are numbered by the first snapshot that has them, so the numbers that a run over fewer
-    snapshots gave stay as they were. ``versions`` holds the key's (snap, value) pairs.
-    """
-    per_key = rows.groupBy(*ks).agg(F.min("snap").alias("first"), F.collect_list(F.struct("snap", "value")).alias("versions"))
-    per_key = per_key.withColumn("shard", F.pmod(F.xxhash64(*ks), F.lit(shards)).cast("int"))
-    order = Window.partitionBy("shard").orderBy("first", *ks)
-    return per_key.withColumn("ordinal", F.row_number().over(order).cast("long") - 1)
-
-
 def snapshot_changes(
-    df: DataFrame, snapshot: str, keys: Sequence[str], value: str, loaded: str, tolerance: float = 0.005, shards: int | None = None
-) -> DataFrame:
+    df: DataFrame, snapshot: str, keys: Sequence[str], value: str, loaded: str, tolerance: float = 0.005, shards: int | None = None,
+    state: SnapshotState | None = None, at_once: int = 16,
+) -> DataFrame:
     """(snapshot_date, keys..., change) for each pair of consecutive snapshot dates.
 
     change: 'added', 'removed' or 'changed' (value null on one side only, or ``tolerance`` or more apart). Null key parts are
     equal to each other; NaN counts as null; rows without a snapshot date are ignored; repeated rows count once; a table that
-    is empty or has a single date gives no row. ``shards``: by default one per shuffle partition, each numbered on its own.
+    is empty or has a single date gives no row. Without a ``state`` the dates of ``df`` are all there is, in a state of their own
+    in the shared folder; with one they are added to it, and the changes are those of the pairs they are part of. ``at_once``
+    dates are taken together, so that no more values of a key are gathered, however long the history.
     """
     spark = df.sparkSession
     df = exact(df, [snapshot, *keys, value, loaded])
-    shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ks = [f"k{i}" for i in range(len(keys))]
-    # all snapshots of a key side by side: one row a key, which is also what numbers the keys
-    numbered = key_ordinals(latest_rows(df, snapshot, keys, value, loaded), ks, shards)
-    # one row per snapshot date, numbered; joined by equality, broadcast only where Spark sees that it is small
-    dates = df.select(F.col(f"`{snapshot}`").cast("date").alias("snap")).filter("snap is not null").distinct()
-    dates = dates.select("snap", F.row_number().over(Window.orderBy("snap")).alias("seq"), F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias("n_seq"))
-    versions = numbered.select("shard", "ordinal", F.explode("versions").alias("x"))
-    versions = versions.select("shard", "ordinal", F.col("x.snap").alias("snap"), F.col("x.value").alias("value")).join(dates, "snap")
-    versions = versions.select(
-        "shard",
-        F.expr(f"ordinal div {CONTAINER}").alias("container"),
-        F.expr(f"ordinal % {CONTAINER}").cast("int").alias("low"),
-        F.col("seq").cast("int").alias("seq"),
-        F.col("n_seq").cast("int").alias("n_seq"),
-        "value",
-    )
-    found = versions.groupBy("shard", "container").applyInPandas(_container_changes(tolerance), "shard int, ordinal long, seq int, change string")
-    named = found.join(numbered.select("shard", "ordinal", *ks), ["shard", "ordinal"])
-    named = named.join(dates.select("seq", "snap"), "seq")
-    return named.select(F.col("snap").alias("snapshot_date"), *[F.col(a).alias(b) for a, b in zip(ks, keys, strict=True)], "change")
+    kept = state or SnapshotState(spark, fresh_folder(spark, "snapshots"), keys, tolerance, shards)
+    dates = [r[0] for r in df.select(F.col(f"`{snapshot}`").cast("date").alias("d")).filter("d is not null").distinct().orderBy("d").collect()]
+    rows = latest_rows(df, snapshot, keys, value, loaded)
+    for n in range(0, len(dates), at_once):
+        part = dates[n : n + at_once]
+        kept.add(rows.filter(F.col("snap").between(part[0], part[-1])) if len(dates) > at_once else rows)
+    out = kept.changes(None if state is None else dates)
+    return out.select("snapshot_date", *[F.col(f"`{k}`") for k in keys], "change")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +31,30 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, also where it was set on a running session. Where it is unset,
+    a local session (tests) gets a temporary one; on a cluster that is an error, as no folder of one machine would do."""
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    folder = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = sc._jsc.sc().getCheckpointDir().get()
     if folder is None:
-        folder = getattr(sc, "_pq_checkpoint_dir", None) or tempfile.mkdtemp(prefix="pricequarry-")
-        sc._pq_checkpoint_dir = folder
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="pricequarry-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder in the shared one that isn't there yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in any file system that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def cut(df: DataFrame) -> DataFrame:

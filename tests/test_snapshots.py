@@ -3,11 +3,12 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
+import pytest
 from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.operators.snapshots import Bitmap, key_ordinals, latest_rows, snapshot_changes
+from pricequarry.operators.snapshots import Bitmap, SnapshotState, snapshot_changes
 
 DDL = "day date, a string, b string, v double, at timestamp"
 D = [dt.date(2031, m, 20) for m in (3, 4, 5)]
@@ -77,15 +78,49 @@ def test_bitmap_is_a_set(a, b, dense_a, dense_b):
     assert set(x.and_not(y).tolist()) == a - b and set(x.both(y).tolist()) == a & b
 
 
-def test_ordinals_persist(spark):
+def ordinals(state):
+    return {r.k0: (r.shard, r.ordinal) for r in state._read("keys").collect()}
+
+
+def test_a_state_takes_further_snapshots_and_late_ones(spark, tmp_path):
+    at = dt.datetime(2031, 1, 1)
+    rng = np.random.default_rng(2)
+    data = [(D[n % 3], f"k{rng.integers(0, 200)}", "", float(rng.integers(0, 3)), at + dt.timedelta(seconds=n)) for n in range(900)]
+    day = lambda *ds: spark.createDataFrame([r for r in data if r[0] in ds], DDL)
+    want = sorted(tuple(r) for r in brute(data))
+    whole = SnapshotState(spark, str(tmp_path / "whole"), ["a", "b"], shards=3)
+    snapshot_changes(day(D[0], D[1]), "day", ["a", "b"], "v", "at", state=whole)
+    before = ordinals(whole)
+    # a new process: the number of shards comes from the state; only the third snapshot is given
+    again = SnapshotState(spark, str(tmp_path / "whole"), ["a", "b"])
+    third = sorted(tuple(r) for r in snapshot_changes(day(D[2]), "day", ["a", "b"], "v", "at", state=again).collect())
+    assert third == [r for r in want if r[0] == D[2]] and again.shards == 3 and again.dates() == D
+    assert before.items() <= ordinals(again).items() and len(ordinals(again)) > len(before)
+    assert sorted(tuple(r) for r in again.changes().collect()) == want
+    # the one in the middle comes last: no key is numbered anew, and both pairs it belongs to come out
+    late = SnapshotState(spark, str(tmp_path / "late"), ["a", "b"], shards=3)
+    snapshot_changes(day(D[0], D[2]), "day", ["a", "b"], "v", "at", state=late)
+    before = ordinals(late)
+    got = sorted(tuple(r) for r in snapshot_changes(day(D[1]), "day", ["a", "b"], "v", "at", state=late).collect())
+    assert got == want and before.items() <= ordinals(late).items()
+    assert len(set(ordinals(late).values())) == len(ordinals(late))
+    # a snapshot that is delivered again takes the place of the first delivery
+    snapshot_changes(day(D[1]).filter("a <> 'k1'"), "day", ["a", "b"], "v", "at", state=late)
+    assert sorted(tuple(r) for r in late.changes().collect()) == sorted(tuple(r) for r in brute([r for r in data if r[0] != D[1] or r[1] != "k1"]))
+    with pytest.raises(ValueError, match="other keys"):
+        SnapshotState(spark, str(tmp_path / "late"), ["b"])
+
+
+def test_history_in_parts(spark):
     at = dt.datetime(2031, 1, 1)
-    data = [(D[n % 3], f"k{n % 50 if n % 3 == 0 else n}", "", 1.0, at) for n in range(300)]
+    data = [(D[0] + dt.timedelta(days=n // 20), f"k{n * 7 % 30}", "", float(n % 3), at) for n in range(200)]
     df = spark.createDataFrame(data, DDL)
+    assert changes(df, at_once=3) == changes(df) == sorted(brute(data))
 
-    def numbers(rows):
-        d = key_ordinals(latest_rows(rows, "day", ["a", "b"], "v", "at"), ["k0", "k1"], 3)
-        return {r.k0: (r.shard, r.ordinal) for r in d.collect()}
 
-    before, after = numbers(df.filter(df.day < D[2])), numbers(df)
-    assert before.items() <= after.items() and len(after) > len(before)
-    assert len(set(after.values())) == len(after)
+@settings(max_examples=20, deadline=None)
+@given(st.sets(st.integers(0, 65_535), max_size=50), st.booleans())
+def test_bitmaps_are_stored(a, dense):
+    a = a | set(range(5000)) if dense else a
+    x = Bitmap.load(Bitmap.of(np.array(sorted(a), np.int64)).dump())
+    assert set(x.numbers().tolist()) == a and (x.bits is not None) == (len(a) > 4096)
