@@ -7,7 +7,7 @@ from conftest import clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pricequarry.llm.leakage import Passages, Shard, common, find_leaks, leaks, passage_words, without_leaks
+from pricequarry.llm.leakage import SEED, Passages, Shard, blocks, common, find_leaks, leaks, passage_words, suffix_array, without_leaks
 
 RNG = random.Random(5)
 VOCABULARY = [f"w{n}" for n in range(3000)]
@@ -60,26 +60,74 @@ def test_edges(spark):
     assert {r.doc_id for r in without_leaks(d, find_leaks(d, i)).collect()} == {1, 2, 3, None}
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.integers(1, 3), min_size=4, max_size=30))
-def test_suffix_array_finds_every_seed(numbers, item):
-    text = np.array(numbers, np.uint64)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
+def test_suffix_array_is_in_order(numbers, longest):
+    text = np.array([*numbers, 0], np.uint32)
+    got = suffix_array(text, 1 << 20).tolist()
+    unlike = [x or 10 + i for i, x in enumerate(text.tolist())]  # no two 0 are the same
+    assert got == sorted(np.flatnonzero(text).tolist(), key=lambda i: unlike[i:])
+    short = [unlike[i : i + longest] for i in suffix_array(text, longest)]
+    assert short == sorted(short)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.lists(st.integers(1, 3), min_size=1, max_size=20), min_size=1, max_size=3))
+def test_longest_matches_and_their_locations(numbers, items):
     names = ["", "a", "b", "c"]
-    ps = Passages([(0, " ".join(names[n] for n in item))])
-    order = {n: ps.number.get(names[n], 0) for n in range(4)}
-    mapped = np.array([order[n] for n in numbers], np.uint64) if numbers else text
-    shard = Shard(mapped)
-    where, seed = shard.hits(*shard.ranges(ps), np.arange(len(ps.keys)))
-    got = sorted(zip(where.tolist(), ps.at[seed].tolist(), strict=True))
-    want = sorted((i, j) for i in range(len(numbers) - 3) for j in range(len(item) - 3) if 0 not in mapped[i : i + 4] and mapped[i : i + 4].tolist() == ps.words[0][j : j + 4].tolist())
-    assert got == want
+    ps = Passages([(n, [names[w] for w in ws]) for n, ws in enumerate(items)])
+    text = ps.numbers([names[w] or "other" for w in numbers]).tolist() + [0]
+    want = []
+    for n, ws in enumerate(ps.words):
+        ws = ws.tolist()
+        for i in range(len(text)):
+            for j in range(len(ws)):
+                k = 0
+                while j + k < len(ws) and text[i + k] == ws[j + k]:
+                    k += 1
+                if k >= min(SEED, len(ws)) and (i == 0 or j == 0 or text[i - 1] != ws[j - 1]):
+                    want.append((n, j, i, k))
+    got = [(int(ps.item[q]), int(ps.at[q]), int(i), int(k)) for part in Shard(np.array(text, np.uint32), ps).matches() for q, i, k in zip(*part, strict=True)]
+    assert sorted(got) == sorted(want)
+
+
+def held_in(doc, passage, share=0.5):
+    ps = Passages([(7, passage)])
+    return [(n, k) for _, _, n, k in leaks([ps.numbers(words(30)), ps.numbers(doc)], ps, share)]
 
 
 def test_longest_match_is_reported():
     p = words(50)
-    ps = Passages([(7, " ".join(p))])
-    ((doc, item, held, longest),) = leaks([words(30), [*words(20), *p[:35], *words(20)]], ps, 0.5)
-    assert (doc, item, held, longest) == (1, 0, 35, 35)
+    assert held_in([*words(20), *p[:35], *words(20)], p) == [(35, 35)]
+
+
+def test_many_changed_words():
+    p = [f"p{n}" for n in range(80)]
+    every = lambda m, *spared: [w if n % m or n in spared else f"other{n}" for n, w in enumerate(p, 1)]
+    assert held_in(every(4), p) == [(79, 3)] and held_in(every(4, 40), p) == [(79, 7)]
+    assert held_in(every(5), p) == [(79, 4)]
+    assert held_in(every(3), p) == [] and held_in(p[:39], p) == [] and held_in([*p[:20], *words(40), *p[60:]], p) == [(40, 20)]
+    # a changed word next to the passage's last, or with two behind it that agree
+    assert held_in([*words(9), *p[40:78], "x", p[79], *words(9)], p) == [(40, 38)]
+    assert held_in([*words(9), *p[10:47], "x", *p[48:50], *words(9)], p) == [(40, 37)]
+
+
+def test_a_repeated_phrase_doesnt_take_a_match_apart():
+    p = [*(f"p{n}" for n in range(41)), "p2", "p3", "p4", *(f"q{n}" for n in range(12))]
+    assert held_in([*words(9), *p[:40], *words(30)], p) == [(40, 40)]
+
+
+def test_short_passages_must_stand_whole():
+    assert held_in(["a", "b", "c"], ["b", "c"]) == [(2, 2)] and held_in(["b", "x", "c"], ["b", "c"]) == [] and held_in(["q"], ["q"]) == [(1, 1)]
+
+
+def test_many_items_are_one_block():
+    block = list(blocks(iter([(n, " ".join(f"w{n}x{k}" for k in range(300))) for n in range(400)]), 4_000_000))
+    ps = Passages(block[0])
+    assert len(block) == 1 and len(ps.number) == 120_000
+    doc = [f"w399x{k}" for k in range(100, 260)]
+    assert [r[1:] for r in leaks([ps.numbers(doc)], ps, 0.5)] == [(399, 160, 160)]
+    assert [len(b) for b in blocks(iter([(1, "a b c"), (2, "a b"), (3, None), (4, "a b c d e f"), (5, "a")]), 5)] == [3, 1, 1]
 
 
 def test_words_without_markup():
@@ -90,4 +138,5 @@ def test_words_without_markup():
 def test_repeated_phrases(spark):
     rep, other = " ".join(["no"] * 40), " ".join(words(50))
     docs = [(1, "no " * 100_000), (2, "no " * 19), (3, "no no no yes " * 20_000), (4, other)]
-    assert found(spark, docs, [(1, rep), (2, other), (3, " ".join(["a", "b"] * 20))]) == [(1, 1), (4, 2)]
+    # the third has all the words in order, with others put in between
+    assert found(spark, docs, [(1, rep), (2, other), (3, " ".join(["a", "b"] * 20))]) == [(1, 1), (3, 1), (4, 2)]
