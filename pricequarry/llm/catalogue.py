@@ -12,15 +12,20 @@ GROUP = ["snapshot_date", "billing_code", "rate_unit"]
 RANKS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999)
 
 
-def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of registry and TIN keys of the same organisation or sole practitioner."""
+def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, component): every registry and TIN key with a usable name, and the class of keys it belongs to."""
     nppes = table(spark, sf_dir, "nppes")
     groups = table(spark, sf_dir, "provider_groups").filter("tin_value is not null")
     names = nppes.select(F.concat(F.lit("npi:"), "npi").alias("key"), F.col("org_name").alias("name")).unionByName(
         groups.select(F.concat(F.lit("tin:"), "tin_value").alias("key"), F.col("tin_business_name").alias("name"))
     )
     individuals = nppes.filter("org_name is null").select("last_name", "first_name")
-    return linkage.key_pairs(linkage.linked_keys(names, individuals))
+    return linkage.linked_keys(names, individuals)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of registry and TIN keys of the same organisation or sole practitioner."""
+    return linkage.key_pairs(p4_clusters(spark, sf_dir))
 
 
 def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +82,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.reading_levels(documents, model).select("doc_id", "band")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_percentiles, p7_within_bound, p8_plan, p8_fill, p9_found, p9_clean, p10_found)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_clusters, p7_percentiles, p7_within_bound, p8_plan, p8_fill, p9_found, p9_clean, p10_found)}
 SQL: dict[str, str] = {
     "p7_within_bound": f"""
 select strftime(snapshot_date, '%Y-%m-%d') as snapshot_date, billing_code, rate_unit, n_values, q, true as within_bound

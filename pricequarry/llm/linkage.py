@@ -1,16 +1,18 @@
 """Keys whose typed names show one owner: MinHash banding, Monge-Elkan verification, star clustering.
 
-1. Names are parsed (names.py) and reduced to distinct parsed names, these to distinct cores.
+1. Which words are common, and what they tell, is learned from all names; names are parsed (names.py) and reduced to distinct
+   parsed names, these to distinct cores.
 2. Cores are banded: MinHash over padded q-grams, with as many bands as the collision curve 1 - (1 - s^rows)^bands asks for at
    the least similarity to be found. Buckets give candidate pairs of cores, once each, verified by Monge-Elkan similarity.
    A bucket that more than ``chunk`` cores share is not paired off: its cores meet by the spellings of their words, which loses
    no similar pair, see ``near_pairs``.
-3. Star clustering of cores: by rounds, a core that outranks all free neighbours (degree, weight, text) becomes a centre and
+3. Star clustering of cores: by rounds, a core that outranks all free neighbours (by degree, then by lot) becomes a centre and
    takes its free neighbours. Rounds are written to the shared folder.
-4. Within a star, parsed names, the centre's own and heavy ones first, are linked to the owners of which ``same_owner`` holds;
-   other names of equal or similar cores, in one star or in two, are compared too, so that no link is lost to the choice of
-   centres or owners.
-5. Keys sharing a cluster are connected; a key's names that stand in for its own are dropped before.
+4. Within a star, parsed names, the centre's own and heavy ones first, are linked to the owners that they agree with; a star of
+   very many names is taken in parts, whose owners are then linked alike. Other names of equal or similar cores, in one star or
+   in two, are compared too, so that no link is lost to the choice of centres, parts or owners.
+5. Keys sharing an owner are connected by alternating large and small stars, in a number of rounds that grows with the logarithm of
+   the longest chain; a key's names that stand in for its own are dropped before.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricequarry.functions.columns import exact
-from pricequarry.llm.names import LONG_CORE, Name, parse, same_core, same_owner
+from pricequarry.llm.names import LONG_CORE, PLAIN, Name, Vocabulary, same_core, word_counts
 from pricequarry.session import cut
 
 Q = 3
@@ -70,13 +72,32 @@ class MinHash:
             return ((h ^ (h >> np.uint64(33))) * np.uint64(0x9E3779B97F4A7C15) + np.arange(self.bands, dtype=np.uint64)).astype(np.int64)
 
 
-def parsed(names: DataFrame, name: str = "name") -> DataFrame:
+def vocabulary(names: DataFrame, name: str = "name") -> Vocabulary:
+    """The common words of all names. Those that come to the driver are in one name of a thousand at least, so that they are a few
+    thousand at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            found = word_counts(texts)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.string()), pa.array([len(texts), *found.values()], pa.int64())], names=["word", "n"])
+
+    distinct = names.select(F.col(name).alias("name")).filter("name is not null").distinct()
+    counts = cut(distinct.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = counts.filter("word is null").first()
+    if total is None:
+        return PLAIN
+    often = counts.filter(F.col("word").isNotNull() & (F.col("n") >= 0.001 * total.n)).collect()
+    return Vocabulary.learned({r.word: r.n for r in often}, total.n)
+
+
+def parsed(names: DataFrame, known: Vocabulary = PLAIN, name: str = "name") -> DataFrame:
     """``names`` with node (the parsed name as text), core, kind and given; names without a core are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            found = [parse(t) for t in texts]
+            found = [known.parse(t) for t in texts]
             keep = [(t, p) for t, p in zip(texts, found, strict=True) if p]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.string()) for x in ([t for t, _ in keep], [p.text() for _, p in keep], [" ".join(p.core) for _, p in keep], [p.kind for _, p in keep], [p.given for _, p in keep])],
@@ -87,6 +108,12 @@ def parsed(names: DataFrame, name: str = "name") -> DataFrame:
     return distinct.repartition(tasks(names), "name").mapInArrow(run, "name string, node string, core string, kind string, given string")
 
 
+def counted_by(rows: DataFrame, key: str, n: str, least: int = 1) -> DataFrame:
+    """``rows`` with the number of rows that have their ``key``, where that is at least ``least``. The numbers are counted before they
+    are joined, so that no task needs all rows of one key."""
+    return rows.join(rows.groupBy(key).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) >= least), key)
+
+
 def may_agree(a: Column, b: Column) -> Column:
     """False only where ``same_core`` can't hold: single words, neither the beginning of the other, too many edits apart (a
     swap of neighbours is two). Checked where the pairs arise, so that those that met by chance go no further."""
@@ -108,10 +135,10 @@ def banded(cores: DataFrame, similarity: float, recall: float, rows: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(texts, dtype=object), bands), pa.string()), pa.array(values)], names=["core", "bucket"])
 
     rows_ = cores.select("core").repartition(tasks(cores), "core").mapInArrow(run, "core string, bucket long")
-    return rows_.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter("n > 1")
+    return counted_by(rows_, "bucket", "n", 2)
 
 
-def band_pairs(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
+def band_pairs(cores: DataFrame, similarity: float = 0.45, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
     """(a, b), a < b: cores that share a band value with up to ``chunk`` cores and may agree, each pair once. The pairs of larger
     buckets are those of ``near_pairs``; ``candidates`` gives both."""
     return _small(banded(cores, similarity, recall, rows), chunk)
@@ -124,7 +151,7 @@ def _small(buckets: DataFrame, chunk: int) -> DataFrame:
     return pairs.filter(may_agree(F.col("a"), F.col("b"))).distinct()
 
 
-def candidates(cores: DataFrame, similarity: float = 0.4, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
+def candidates(cores: DataFrame, similarity: float = 0.45, recall: float = 0.95, rows: int = 4, chunk: int = 64) -> DataFrame:
     """(a, b), a < b: the pairs of cores that share a band value, each once, but for some of which ``same_core`` can't hold."""
     buckets = banded(cores, similarity, recall, rows)
     crowded = buckets.filter(F.col("n") > chunk).select("core").distinct()
@@ -176,13 +203,13 @@ def near_pairs(cores: DataFrame, least: float = 0.78, block: int = 1024) -> Data
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["core", "own", "key", "whole"])
 
     words = cores.select("core", F.explode(F.array_distinct(F.split("core", " "))).alias("word"))
-    words = words.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("word")))
+    words = counted_by(words, "word", "often")
     by = Window.partitionBy("core")
     words = words.withColumn("place", F.row_number().over(by.orderBy("often", F.desc(F.length("word")), "word"))).withColumn("size", F.count(F.lit(1)).over(by))
     words = words.select("core", "word", (F.col("place") <= F.floor(F.col("size") * (1 - least) + 1e-9) + 1).alias("own"))
     keys = words.repartition(tasks(cores), "core", "word").mapInArrow(run, "core string, own boolean, key string, whole boolean")
     keys = keys.select("core", "own", "whole", F.xxhash64("key").alias("key"))
-    keys = keys.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    keys = counted_by(keys, "key", "n", 2)
     keys = keys.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     x = keys.filter("own").withColumn("part", F.pmod(F.hash("core"), "blocks")).alias("x")
     y = keys.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
@@ -204,79 +231,87 @@ def similar_cores(pairs: DataFrame, least: float = 0.78) -> DataFrame:
     return pairs.select("a", "b").repartition(tasks(pairs), "a", "b").mapInArrow(run, "a string, b string")
 
 
-def stars(nodes: DataFrame, edges: DataFrame, most_rounds: int = 30) -> DataFrame:
-    """(core, center) of every node: star clustering of (core, weight) along edges (a, b).
+def stars(cores: DataFrame, edges: DataFrame) -> DataFrame:
+    """(core, center) of every core: star clustering along edges (a, b).
 
-    In each round every free node that outranks its free neighbours, by (degree, weight, text), becomes a centre and its free
-    neighbours its satellites, each with the centre that ranks highest. A node without neighbours is its own centre. The node
-    ranking highest of all is always a centre, so every round ends some; rounds beyond ``most_rounds`` raise.
+    In each round every free core that outranks its free neighbours, by (degree, lot, text), becomes a centre and its free
+    neighbours its satellites, each with the centre that ranks highest. A core without neighbours is its own centre. The core
+    ranking highest of all is always a centre, so every round ends some, and with lots for ranks half of what is left.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.groupBy(F.col("a").alias("core")).agg(F.count(F.lit(1)).alias("degree"))
-    ranked = nodes.join(degree, "core").select("core", F.struct("degree", "weight", "core").alias("rank"))
+    ranked = both.groupBy(F.col("a").alias("core")).agg(F.count(F.lit(1)).alias("degree"))
+    ranked = ranked.select("core", F.struct("degree", F.xxhash64("core").alias("lot"), "core").alias("rank"))
     links = both.join(ranked.withColumnRenamed("core", "a").withColumnRenamed("rank", "rank_a"), "a")
     links = cut(links.join(ranked.withColumnRenamed("core", "b").withColumnRenamed("rank", "rank_b"), "b").select("a", "b", "rank_a", "rank_b"))
-    done: list[DataFrame] = []
-    for _ in range(most_rounds):
+    out = edges.select(F.col("a").alias("core"), F.col("a").alias("center")).limit(0)
+    while not links.isEmpty():
         top = links.groupBy("a").agg(F.max("rank_b").alias("best"), F.first("rank_a").alias("own"))
         centers = top.filter(F.col("own") > F.col("best")).select(F.col("a").alias("c"))
         taken = links.join(centers, F.col("b") == F.col("c"), "left_semi").groupBy(F.col("a").alias("core")).agg(F.max("rank_b").alias("r"))
         found = cut(taken.select("core", F.col("r.core").alias("center")).unionByName(centers.select(F.col("c").alias("core"), F.col("c").alias("center"))))
-        if found.isEmpty():
-            break
-        done.append(found)
+        out = out.unionByName(found)
         gone = found.select("core")
-        links = links.join(gone.withColumnRenamed("core", "a"), "a", "left_anti").join(gone.withColumnRenamed("core", "b"), "b", "left_anti")
-        links = cut(links)
-    else:
-        if not links.isEmpty():
-            raise RuntimeError("star clustering did not end")
-    out = done[0] if done else nodes.select("core", F.col("core").alias("center")).limit(0)
-    for d in done[1:]:
-        out = out.unionByName(d)
-    lone = nodes.join(out, "core", "left_anti").select("core", F.col("core").alias("center"))
+        left = links.join(gone.withColumnRenamed("core", "a"), "a", "left_anti").join(gone.withColumnRenamed("core", "b"), "b", "left_anti")
+        links = cut(left)
+    lone = cores.select("core").join(out, "core", "left_anti").select("core", F.col("core").alias("center"))
     return out.unionByName(lone)
 
 
-def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parsed names of stars, star by star, those of the star's centre first, then by weight: each is linked to every owner it
-    agrees with, or becomes one."""
-    star, known = None, []
-    for batch in batches:
-        nodes, out = [], []
-        for center, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if center != star:
-                star, known = center, []
-            mine = Name.of(node)
-            homes = [c for c, other in known if same_owner(mine, other)]
-            if not homes:
-                homes = [node]
-                known.append((node, mine))
-            nodes += [node] * len(homes)
-            out += homes
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(out, pa.string())], names=["node", "owner"])
+OWNED = pa.schema([("center", pa.string()), ("node", pa.string()), ("owner", pa.string())])
+
+
+def _owners(known: Vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Parsed names, group by group, in order: each is linked to every owner of its group it agrees with, or becomes one."""
+        group, owners = None, []
+        for batch in batches:
+            rows = []
+            for center, part, node in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (center, part) != group:
+                    group, owners = (center, part), []
+                mine = Name.of(node)
+                homes = [c for c, other in owners if known.same_owner(mine, other)]
+                if not homes:
+                    homes = [node]
+                    owners.append((node, mine))
+                rows += [(center, node, home) for home in homes]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows, strict=True) if rows else [[]] * 3)], schema=OWNED)
+
+    return run
 
 
 def tasks(df: DataFrame) -> int:
     """How many tasks the Python stages take: their rows are few bytes but much work, so sizes in bytes don't tell."""
     spark = df.sparkSession
-    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def owners(names: DataFrame) -> DataFrame:
+def owners(names: DataFrame, known: Vocabulary = PLAIN, part_of: int = 5000) -> DataFrame:
     """(node, owner) for parsed names with node, core and weight: the clusters of names, and the links between them."""
-    nodes = names.groupBy("node", "core").agg(F.sum("weight").alias("weight"))
-    nodes = cut(nodes)
-    cores = nodes.groupBy("core").agg(F.sum("weight").alias("weight"))
+    nodes = cut(names.groupBy("node", "core").agg(F.sum("weight").alias("weight")))
+    cores = nodes.select("core").distinct()
     edges = cut(similar_cores(candidates(cores)))
     star = cut(stars(cores, edges))
-    placed = nodes.join(star, "core").select("center", "node", "weight", (F.col("core") == F.col("center")).alias("inner"))
-    found = placed.repartition(tasks(names), "center").sortWithinPartitions("center", F.desc("inner"), F.desc("weight"), "node").select("center", "node").mapInArrow(_owners, "node string, owner string")
-    found = cut(found)
-    return found.unionByName(bridges(nodes, edges, star, found))
+    found = cut(star_owners(nodes, star, known, part_of))
+    return found.unionByName(bridges(nodes, edges, star, found, known))
 
 
-def bridges(nodes: DataFrame, edges: DataFrame, star: DataFrame, found: DataFrame) -> DataFrame:
+def star_owners(nodes: DataFrame, star: DataFrame, known: Vocabulary, part_of: int) -> DataFrame:
+    """(node, owner) within stars. A star of more than ``part_of`` names is taken in parts; the owners of its parts are linked to
+    each other in a second step, so no task goes through all its names."""
+    placed = nodes.join(star, "core").select("center", "node", "weight", (F.col("core") == F.col("center")).alias("inner"))
+    large = placed.groupBy("center").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > part_of)
+    parts = F.coalesce(F.ceil(F.col("n") / part_of), F.lit(1)).cast("int")
+    placed = placed.join(large, "center", "left").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    spread = placed.repartition(tasks(nodes), "center", "part").sortWithinPartitions("center", "part", F.desc("inner"), F.desc("weight"), "node")
+    ddl = "center string, node string, owner string"
+    found = cut(spread.select("center", "part", "node").mapInArrow(_owners(known), ddl))
+    again = found.join(large, "center", "left_semi").select("center", F.lit(0).alias("part"), F.col("owner").alias("node")).distinct()
+    again = again.repartition(tasks(nodes), "center").sortWithinPartitions("center", "node").mapInArrow(_owners(known), ddl)
+    return found.unionByName(again).select("node", "owner")
+
+
+def bridges(nodes: DataFrame, edges: DataFrame, star: DataFrame, found: DataFrame, known: Vocabulary = PLAIN) -> DataFrame:
     """(node, owner) links that stars would lose: a core similar to two centres is in one star only, and within a star names are
     compared with owners only. So names of similar cores in different stars are compared one by one, and names of equal or
     similar cores in one star unless they have an owner in common."""
@@ -292,24 +327,38 @@ def bridges(nodes: DataFrame, edges: DataFrame, star: DataFrame, found: DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [same_owner(Name.of(x), Name.of(y)) for x, y in zip(*[batch.column(n).to_pylist() for n in (0, 1)], strict=True)]
+            keep = [known.same_owner(Name.of(x), Name.of(y)) for x, y in zip(*[batch.column(n).to_pylist() for n in (0, 1)], strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     agreed = met.repartition(tasks(nodes), "x", "y").mapInArrow(run, "x string, y string")
     return agreed.join(found.select(F.col("node").alias("y"), "owner"), "y").select(F.col("x").alias("node"), "owner")
 
 
-def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(key, component) of the bipartite links (key, owner): the least key that can be reached. Written out each round."""
-    state = cut(links.select("key", "owner").distinct().withColumn("component", F.col("key")))
-    for _ in range(most_rounds):
-        by_owner = state.groupBy("owner").agg(F.min("component").alias("low"))
-        by_key = state.join(by_owner, "owner").groupBy("key").agg(F.min("low").alias("low"))
-        new = cut(state.join(by_key, "key").select("key", "owner", F.col("low").alias("component"), (F.col("low") != F.col("component")).alias("moved")))
-        if new.filter("moved").isEmpty():
-            return new.select("key", "component").distinct()
-        state = new.drop("moved")
-    raise RuntimeError("components did not settle")
+def components(links: DataFrame) -> DataFrame:
+    """(key, component) of the links (key, owner): the least key that can be reached.
+
+    Keys of one owner become edges to the least of them. Then, by turns, every key sends its larger neighbours to the least key it
+    knows of (large star), and its smaller ones and itself (small star), until nothing changes: that takes rounds in the
+    order of the logarithm of the longest chain, and no key's neighbours are ever gathered. Written out each round.
+    """
+    pairs = cut(links.select("key", "owner").distinct())
+    low = pairs.groupBy("owner").agg(F.min("key").alias("v"))
+    edges = cut(pairs.join(low, "owner").filter("key <> v").select(F.col("key").alias("u"), "v").distinct())
+    before = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
+        edges = cut(small.distinct())
+        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if state == before:
+            break
+        before = state
+    keys = pairs.select("key").distinct()
+    return keys.join(edges.withColumnRenamed("u", "key"), "key", "left").select("key", F.coalesce("v", "key").alias("component"))
 
 
 def linked_keys(names: DataFrame, individuals: DataFrame) -> DataFrame:
@@ -322,14 +371,15 @@ def linked_keys(names: DataFrame, individuals: DataFrame) -> DataFrame:
     """
     names, individuals = exact(names, ["key", "name"]), exact(individuals, ["last_name", "first_name"])
     counted = names.filter("key is not null and name is not null").groupBy("key", "name").agg(F.count(F.lit(1)).alias("weight"))
-    counted = cut(counted.join(parsed(counted), "name").select("key", "node", "core", "kind", "given", "weight"))
+    known = vocabulary(counted)
+    counted = cut(counted.join(parsed(counted, known), "name").select("key", "node", "core", "kind", "given", "weight"))
     people = individuals.filter("last_name is not null and first_name is not null").select(F.concat_ws(" ", "last_name", "first_name").alias("name"))
-    people = parsed(people).filter("kind = 'person'").select("core", F.explode(F.array("given", F.substring("given", 1, 1))).alias("given")).distinct()
+    people = parsed(people, known).filter("kind = 'person'").select("core", F.explode(F.array("given", F.substring("given", 1, 1))).alias("given")).distinct()
     is_org = F.max(F.when(F.col("kind") == "org", 1).otherwise(0)).over(Window.partitionBy("key"))
     stands_in = counted.withColumn("has_org", is_org).filter("kind = 'org' or has_org = 0")
     own = stands_in.filter("kind = 'org'").unionByName(stands_in.filter("kind <> 'org'").join(people, ["core", "given"], "left_anti").select(*stands_in.columns))
     own = cut(own.drop("has_org"))
-    return components(own.select("key", "node").join(owners(own), "node").select("key", "owner"))
+    return components(own.select("key", "node").join(owners(own, known), "node").select("key", "owner"))
 
 
 def key_pairs(linked: DataFrame) -> DataFrame:
