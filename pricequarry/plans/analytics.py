@@ -49,17 +49,19 @@ def code_summary(fact: DataFrame, f: Filters, breakdown: str | None = None) -> D
     if breakdown is not None and breakdown not in BREAKDOWNS:
         raise ValueError(f"breakdown: one of {tuple(BREAKDOWNS)}")
     keys = ["billing_code"] + ([BREAKDOWNS[breakdown]] if breakdown else [])
-    counts = prepared(f.apply(fact, market=True), f, keys).groupBy(*keys)
-    counts = counts.agg(F.count_distinct("tin").alias("n_tins"), F.count_distinct("npi").alias("n_npis"), F.count(F.lit(1)).alias("n_rows"))
+    # one pass for what is counted among the rows kept and among those of all units of price
+    kept = f.predicates(market=True).get("dollar_rates_only", F.lit(True))
+    every = prepared(f.apply(fact, {"dollar_rates_only"}, market=True).withColumn("kept", kept), f, keys).groupBy(*keys)
+    counts = every.agg(
+        F.count_distinct(F.when(F.col("kept"), F.col("tin"))).alias("n_tins"), F.count_distinct(F.when(F.col("kept"), F.col("npi"))).alias("n_npis"), F.count_if("kept").alias("n_rows"),
+        (F.avg(F.when(F.col("rate_unit") == "percent_of_billed_charges", 1.0).otherwise(0.0)) * 100).alias("pct_percentage_rows"),
+    )
     stats = unit_values(fact, f, keys).groupBy(*keys)
     stats = stats.agg(
         F.count(F.lit(1)).alias("n_units"), F.min("v").alias("min_rate"), F.max("v").alias("max_rate"), F.avg("v").alias("mean_rate"),
         F.percentile("v", F.array(*map(F.lit, QUANTILES))).alias("q"),
     )
-    share = prepared(f.apply(fact, {"dollar_rates_only"}, market=True), f, keys).groupBy(*keys)
-    share = share.agg((F.avg(F.when(F.col("rate_unit") == "percent_of_billed_charges", 1.0).otherwise(0.0)) * 100).alias("pct_percentage_rows"))
-    out = counts.join(stats, keys)  # a null breakdown has no statistics, hence no row
-    out = out.join(share, keys, "left")
+    out = counts.join(stats, keys)  # a null breakdown has no statistics, hence no row; nor has a group of which no row is kept
     named = [F.col("q")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(QUANTILES)]
     first = ["billing_code"] + ([F.col(keys[1]).alias("breakdown")] if breakdown else [])
     return out.select(*first, "n_tins", "n_npis", "n_rows", "n_units", "min_rate", "max_rate", "mean_rate", *named, "pct_percentage_rows")
@@ -142,12 +144,17 @@ def sort_key(name: str, direction: str, allowed: Sequence[str]) -> Column:
     return F.col(name).desc_nulls_last() if direction.lower() == "desc" else F.col(name).asc_nulls_last()
 
 
-def rate_explorer(numbered: DataFrame, f: Filters, number: int = 1, size: int = 200, sort_by: str = "negotiated_rate", direction: str = "asc") -> DataFrame:
-    """A page of rows. Only the sort key and the row's number are sorted; the page's other columns are joined to it."""
+def rate_explorer(fact: DataFrame, f: Filters, number: int = 1, size: int = 200, sort_by: str = "negotiated_rate", direction: str = "asc") -> DataFrame:
+    """A page of rows. Only the sort key, the row's number and what filters read is scanned for all rows; the page's other columns
+    are read for the rows of the page."""
     order = [sort_key(sort_by, direction, EXPLORER), F.col("rate_id")]
-    kept = f.apply(numbered)
-    ids = page(kept.select("rate_id", *([sort_by] if sort_by != "rate_id" else [])), order, number, size)
-    return kept.join(F.broadcast(ids.select("rate_id")), "rate_id", "left_semi").select(*EXPLORER, f.tag().alias("tag_name")).orderBy(*order)
+    ids = page(f.apply(fact).select("rate_id", *([sort_by] if sort_by != "rate_id" else [])), order, number, size)
+    return fact.join(F.broadcast(ids.select("rate_id")), "rate_id", "left_semi").select(*EXPLORER, f.tag().alias("tag_name")).orderBy(*order)
+
+
+def total(fact: DataFrame, f: Filters) -> DataFrame:
+    """(n_total): rows of all pages of the explorer."""
+    return f.apply(fact).agg(F.count(F.lit(1)).alias("n_total"))
 
 
 def percentage_rates(numbered: DataFrame, f: Filters, **paging) -> DataFrame:
@@ -189,6 +196,24 @@ def map_points(fact: DataFrame, f: Filters, code: str, most: int = MOST_ROWS) ->
     return out.orderBy(F.desc("n_providers"), "lat", "lon").limit(most)
 
 
+def marker_radius(points: DataFrame) -> DataFrame:
+    """Points with the radius of their marker, from 4 to 16 by the root of their share of the largest one's providers; whether
+    the list of points was cut off at its limit is for ``capped`` to say."""
+    biggest = F.max("n_providers").over(Window.partitionBy(F.lit(1)))  # of a list of at most MOST_ROWS points
+    return points.withColumn("radius", F.round(4 + 12 * F.sqrt(F.col("n_providers") / biggest) + 1e-9, 1))
+
+
+def capped(points: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """(n_points, capped): whether there may be more points than the list has."""
+    return points.agg(F.count(F.lit(1)).alias("n_points"), (F.count(F.lit(1)) >= most).alias("capped"))
+
+
+def outlined(points: DataFrame, pinned: Sequence[str]) -> DataFrame:
+    """Points with the pinned tags among theirs, in order; null if there is none."""
+    hits = F.array_sort(F.array_intersect(F.split("tag_names", ","), F.array(*[F.lit(t) for t in pinned]).cast("array<string>")))
+    return points.withColumn("pinned", F.when(F.size(hits) > 0, F.array_join(hits, ",")))
+
+
 def unmapped_providers(fact: DataFrame, f: Filters, code: str) -> DataFrame:
     return f.but(codes=(code,)).apply(fact).filter("lat is null").agg(F.count_distinct("npi").alias("n"))
 

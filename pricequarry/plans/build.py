@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,18 +114,69 @@ def conflict_rows(fact: DataFrame) -> DataFrame:
     return fact.alias("f").join(c.alias("c"), [*same, F.array_contains("f.networks", F.col("c._network"))], "left_semi")
 
 
-def quality_stats(fact: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """(metric, n): all scalar counts of the fact in one pass, and anomalies by step and type."""
+def quality_stats(fact: DataFrame, anomalies: DataFrame, sources: DataFrame) -> DataFrame:
+    """(metric, n): all scalar counts of the fact in one pass, what deduplication removed of its ``sources``, conflicting keys,
+    unregistered NPIs, rows by scope, and anomalies by step and type."""
     tests = {
         "rates": F.lit(True), "zero_rate": F.col("is_zero_rate"), "null_rate": F.col("negotiated_rate").isNull(), "invalid_npi": ~F.col("is_valid_npi"), "expired": F.col("is_expired"),
-        "not_registered": F.col("scope_flag") == "not_registered", "percentage": F.col("rate_unit") == "percent_of_billed_charges", "unknown_unit": F.col("rate_unit") == "unknown",
-        "no_network": F.col("networks").isNull(), "many_sources": F.col("n_sources") > 1,
+        "not_registered": F.col("scope_flag") == "not_registered", "not_registered_valid_npi": (F.col("scope_flag") == "not_registered") & F.col("is_valid_npi"),
+        "percentage": F.col("rate_unit") == "percent_of_billed_charges", "unknown_unit": F.col("rate_unit") == "unknown", "no_network": F.col("networks").isNull(), "many_sources": F.col("n_sources") > 1,
+        **{f"scope_{x}": F.col("scope_flag") == x for x in SCOPES},
     }
-    one = fact.agg(*[F.count_if(c).alias(m) for m, c in tests.items()])
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n")) for m in tests]))
+    gone = F.when((F.col("scope_flag") == "not_registered") & F.col("is_valid_npi"), F.col("npi"))
+    one = fact.agg(*[F.count_if(c).alias(m) for m, c in tests.items()], F.count_distinct(gone).alias("npis_not_registered"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n")) for m in one.columns]))
     scalar = one.select(pairs.alias("x")).select("x.metric", "x.n")
+    merged = sources.groupBy(F.lit(1)).agg(F.count(F.lit(1)).alias("before")).crossJoin(deduplicated(sources).agg(F.count(F.lit(1)).alias("after")))  # one row each
+    merged = merged.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), c.alias("n")) for m, c in (("rows_before_dedup", F.col("before")), ("rows_removed_by_dedup", F.col("before") - F.col("after")))])).alias("x")).select("x.*")
+    clash = conflicts(fact).agg(F.count(F.lit(1)).alias("n")).select(F.lit("conflicting_keys").alias("metric"), "n")
     logged = anomalies.groupBy(F.concat_ws(":", F.lit("anomaly"), "step", "type").alias("metric")).agg(F.count(F.lit(1)).alias("n"))
-    return scalar.unionByName(logged)
+    return scalar.unionByName(merged).unionByName(clash).unionByName(logged)
+
+
+SCOPES = ("expected", "organization", "not_registered")
+
+
+def conflict_page(found: DataFrame, most: int = 500) -> DataFrame:
+    """The conflicts with most prices first, then by NPI and the rest of the key."""
+    rest = [c for c in found.columns if c not in ("n_prices", "prices", "npi")]
+    return found.orderBy(F.desc("n_prices"), F.col("npi").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]).limit(most)
+
+
+def profile_sections(rates: DataFrame, anomalies: DataFrame, groups: DataFrame, capitation: DataFrame, counts: DataFrame, most: int = 15) -> dict[str, DataFrame]:
+    """The report's sections, in its order: seven over different prices, then anomalies, odd NPIs, capitation, counts per file."""
+    sets = {c: F.array_join(F.array_sort(c), ",").alias(c) for c in SAME_LISTS}
+    prices = rates.select("file_id", "i", "j", "k", "billing_code", "negotiated_type", "rate_unit", "billing_class", "setting", "negotiation_arrangement", *sets.values(), "is_zero_rate").distinct()
+
+    def by(*columns: str, rows: DataFrame = prices, name: str = "prices") -> DataFrame:
+        out = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(name))
+        return out.orderBy(F.desc(name), *[F.col(c).asc_nulls_last() for c in columns])
+
+    codes = by("billing_code", "rate_unit", "billing_class")
+    odd = groups.filter(~valid_npi(F.col("npi")))
+    cap = capitation.groupBy("covered_target_codes", "rate_unit").agg(F.count(F.lit(1)).alias("rows"), F.min("negotiated_rate").alias("min_rate"), F.max("negotiated_rate").alias("max_rate"))
+    return {
+        "prices by type, unit and class": by("negotiated_type", "rate_unit", "billing_class"),
+        "prices by code, unit and class": codes.orderBy(*[F.col(c).asc_nulls_last() for c in codes.columns]),
+        "prices by arrangement": by("negotiation_arrangement"),
+        "prices by setting": by("setting"),
+        "largest sets of places": by("service_code").limit(most),
+        "largest sets of modifiers": by("billing_code_modifier").limit(most),
+        "zero prices": by("rate_unit", "billing_class", rows=prices.filter("is_zero_rate")),
+        "anomalies": by("step", "type", rows=anomalies, name="n"),
+        "npis that are none": by("npi", rows=odd, name="rows"),
+        "capitation": cap.orderBy(F.desc("rows"), "covered_target_codes", F.col("rate_unit").asc_nulls_last()),
+        "counts per file": counts.orderBy("file_id"),
+    }
+
+
+def stacked_sections(sections: dict[str, DataFrame]) -> DataFrame:
+    """(section, n, cells): every row of every section as text, its place in it and its values in order."""
+    out = []
+    for title, df in sections.items():
+        cells = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
+        out.append(df.select(F.lit(title).alias("section"), cells.alias("cells")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def top_per_group(df: DataFrame, group: str, item: str, counted: str, k: int = 10) -> DataFrame:
@@ -142,9 +194,44 @@ def drift(before: DataFrame, now: DataFrame, key: str, threshold: float = 0.2) -
     return out.withColumn("change", change).withColumn("breaks", (F.col("n_now") == 0) | (change > threshold))
 
 
+class DriftError(RuntimeError):
+    """Counts moved too far since the last snapshot."""
+
+
+def check_drift(before: DataFrame, now: DataFrame, key: str, threshold: float = 0.2, force: bool = False, wanted: Sequence[str] = ()) -> DataFrame:
+    """``drift``, or an error that names the keys that moved too far or are missing (of ``wanted`` ones too), unless forced."""
+    moved = drift(before, now, key, threshold)
+    broken = [f"{r[key]}: {r.n_before} -> {r.n_now}" for r in moved.filter("breaks").orderBy(key).limit(20).collect()]
+    have = {r[0] for r in now.filter(F.col(key).isin(list(wanted))).select(key).distinct().collect()} if wanted else set()
+    broken += [f"{k}: none" for k in wanted if k not in have]
+    if broken and not force:
+        raise DriftError(f"counts moved by more than {threshold:.0%}: {', '.join(broken)}")
+    return moved
+
+
+def registry_log(registry: DataFrame, taxonomy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(registry rows with the names of their primary code, log of codes that aren't listed and of providers without a clear one)."""
+    names = taxonomy.select(F.col("code").alias("primary_taxonomy_code"), "grouping", "classification", "specialization", "display_name")
+    joined = registry.join(names.withColumn("listed", F.lit(True)), "primary_taxonomy_code", "left")
+    unlisted = joined.filter("primary_taxonomy_code is not null and listed is null").select("npi", F.lit("taxonomy_code_not_listed").alias("type"), F.col("primary_taxonomy_code").alias("detail"))
+    unclear = registry.filter("primary_taxonomy_rule = 'ambiguous'").select("npi", F.lit("ambiguous_primary_taxonomy").alias("type"), F.array_join("taxonomy_codes", ",").alias("detail"))
+    return joined.drop("listed"), unlisted.unionByName(unclear)
+
+
+def trace_rows(rates_npi: DataFrame, files: DataFrame, most: int = 20) -> DataFrame:
+    """The rows to be traced to their source: of the smallest files first, in order of position; ``files`` has (file_id, size)."""
+    order = [F.col("size"), F.col("file_id"), *[F.col(c).asc_nulls_last() for c in "ijkrmnp"]]
+    return rates_npi.join(files.select("file_id", "size"), "file_id").orderBy(*order).limit(most)
+
+
+def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., n): keys that stand more than once."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def require_no_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, or an error that names a key that stands twice."""
-    twice = df.groupBy(*keys).count().filter("count > 1").take(1)
+    twice = duplicates(df, keys).take(1)
     if twice:
         raise ValueError(f"duplicate key: {twice[0].asDict()}")
     return df

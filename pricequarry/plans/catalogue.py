@@ -141,12 +141,15 @@ PAGE_COLUMNS = ", ".join(A.EXPLORER) + f", {TAG} as tag_name"
 
 @query("rate_explorer_page", f"{S.PREFIX} select {PAGE_COLUMNS} from numbered where {where()} order by negotiated_rate nulls last, rate_id limit 200 offset 200")
 def rate_explorer_page(spark: SparkSession, sf: str) -> DataFrame:
-    return A.rate_explorer(S.fact_numbered(spark, sf), DEFAULT, number=2)
+    return A.rate_explorer(S.fact(spark, sf), DEFAULT, number=2)
 
 
 @query("rate_explorer_name_sort", f"{S.PREFIX} select {PAGE_COLUMNS} from numbered where {where()} order by provider_name desc nulls last, rate_id limit 200")
 def rate_explorer_name_sort(spark: SparkSession, sf: str) -> DataFrame:
-    return A.rate_explorer(S.fact_numbered(spark, sf), DEFAULT, sort_by="provider_name", direction="desc")
+    return A.rate_explorer(S.fact(spark, sf), DEFAULT, sort_by="provider_name", direction="desc")
+
+
+query("rate_explorer_total", f"{S.PREFIX} select count(*) as n_total from fact where {where()}")(lambda spark, sf: A.total(S.fact(spark, sf), DEFAULT))
 
 
 @query(
@@ -155,7 +158,7 @@ def rate_explorer_name_sort(spark: SparkSession, sf: str) -> DataFrame:
 where {where("dollar_rates_only", more="rate_unit = 'percent_of_billed_charges'")} order by negotiated_rate nulls last, rate_id limit 200""",
 )
 def percentage_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return A.percentage_rates(S.fact_numbered(spark, sf), DEFAULT)
+    return A.percentage_rates(S.fact(spark, sf), DEFAULT)
 
 
 GROUP_SQL = {"tag": f"{TAG} as tag"}
@@ -194,6 +197,19 @@ def map_points(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(A.map_points(S.fact(spark, sf), DEFAULT, CODE), "median_rate", "market_percentile")
 
 
+_points = SQL["map_points"]
+query("map_markers", f"select lat, lon, round(4 + 12 * sqrt(n_providers / max(n_providers) over ()) + 1e-9, 1) as radius from ({_points})")(
+    lambda spark, sf: A.marker_radius(A.map_points(S.fact(spark, sf), DEFAULT, CODE)).select("lat", "lon", "radius")
+)
+query("map_capped", f"select count(*) as n_points, count(*) >= 25 as capped from (select * from ({_points}) order by n_providers desc, lat, lon limit 25)")(
+    lambda spark, sf: A.capped(A.map_points(S.fact(spark, sf), DEFAULT, CODE, 25), 25)
+)
+query(
+    "map_outlined",
+    f"""select lat, lon, nullif(array_to_string(list_sort(list_distinct(list_filter(string_split(tag_names, ','), lambda x: x in ('Platform 0', 'System 1')))), ','), '') as pinned from ({_points})""",
+)(lambda spark, sf: A.outlined(A.map_points(S.fact(spark, sf), DEFAULT, CODE), ("System 1", "Platform 0")).select("lat", "lon", "pinned"))
+
+
 @query("unmapped_providers", f"{S.PREFIX} select count(distinct npi) as n from fact where {where(more=f"billing_code = '{CODE}'")} and lat is null")
 def unmapped_providers(spark: SparkSession, sf: str) -> DataFrame:
     return A.unmapped_providers(S.fact(spark, sf), DEFAULT, CODE)
@@ -273,10 +289,13 @@ query(
 query("suggest_entity", f"{S.PREFIX} select tin as value, display_name as label, n_npis from tins where contains(search_text, 'HEALTH') order by n_npis desc, tin limit 20")(
     lambda spark, sf: A.suggest(S.tins(spark, sf), "entity", "health")
 )
-_options = ("billing_code", "provider_type", "practice_state", "pos_group", "billing_class", "negotiated_type", "scope_flag")
+_options = (
+    "billing_code", "provider_type", "practice_state", "practice_city", "practice_zip5", "pos_group", "billing_class", "negotiated_type", "scope_flag", "snapshot_date", "tag_type", "tag_name",
+    "tag_confidence",
+)
 query(
     "filter_options",
-    S.PREFIX + " " + " union all ".join(f"select '{c}' as name, {c} as value, count(*) as n from fact where {c} is not null group by 2" for c in _options)
+    S.PREFIX + " " + " union all ".join(f"select '{c}' as name, {c}::varchar as value, count(*) as n from fact where {c} is not null group by 2" for c in _options)
     + " union all select 'networks', v, count(*) from (select unnest(list_distinct(networks)) as v from fact) where v is not null group by 2"
     + " union all select 'service_code', v, count(*) from (select unnest(list_distinct(service_code)) as v from fact) where v is not null group by 2",
 )(lambda spark, sf: A.options(S.fact(spark, sf), _options, ("networks", "service_code")))
@@ -314,7 +333,7 @@ def code_summary_from_core(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("rates_fact_numbered", f"{S.PREFIX} select min(rate_id) as lo, max(rate_id) as hi, count(*) as n, count(distinct rate_id) as n_ids, billing_code from numbered group by billing_code")
 def rates_fact_numbered(spark: SparkSession, sf: str) -> DataFrame:
-    n = S.fact_numbered(spark, sf).groupBy("billing_code")
+    n = S.fact(spark, sf).groupBy("billing_code")
     return n.agg(F.min("rate_id").alias("lo"), F.max("rate_id").alias("hi"), F.count(F.lit(1)).alias("n"), F.count_distinct("rate_id").alias("n_ids"))
 
 
@@ -333,9 +352,9 @@ def pos_set_join(spark: SparkSession, sf: str) -> DataFrame:
     return f.join(s, F.array_sort("service_code").eqNullSafe(F.col("codes")), "left").groupBy("pos_set_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("providers_dim", f"{S.PREFIX} select npi, provider_name, provider_type, practice_zip5, {r6('lat')} as lat, {r6('lon')} as lon from providers")
+@query("providers_dim", f"{S.PREFIX} select npi, provider_name, provider_type, coalesce(primary_taxonomy_code[1:2] in ('9C', '9D'), false) as is_prescriber, practice_zip5, {r6('lat')} as lat, {r6('lon')} as lon from providers")
 def providers_dim(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(S.providers(spark, sf).select("npi", "provider_name", "provider_type", "practice_zip5", "lat", "lon"), "lat", "lon")
+    return rounded(S.providers(spark, sf).select("npi", "provider_name", "provider_type", "is_prescriber", "practice_zip5", "lat", "lon"), "lat", "lon")
 
 
 @query("tins_names", f"{S.PREFIX} select tin, display_name, array_to_string(names, ' | ') as names, n_npis, tag_type, tag_name, tag_confidence from tins")
@@ -450,13 +469,18 @@ and f.negotiated_type is not distinct from c.negotiated_type and list_contains(f
 )(lambda spark, sf: B.conflict_rows(S.fact(spark, sf)).groupBy("billing_code").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("npi").alias("n_npis")))
 _tests = {
     "rates": "true", "zero_rate": "is_zero_rate", "null_rate": "negotiated_rate is null", "invalid_npi": "not is_valid_npi", "expired": "is_expired", "not_registered": "scope_flag = 'not_registered'",
+    "not_registered_valid_npi": "scope_flag = 'not_registered' and is_valid_npi", **{f"scope_{x}": f"scope_flag = '{x}'" for x in B.SCOPES},
     "percentage": "rate_unit = 'percent_of_billed_charges'", "unknown_unit": "rate_unit = 'unknown'", "no_network": "networks is null", "many_sources": "n_sources > 1",
 }
 query(
     "dq_stats",
-    S.PREFIX + " " + " union all ".join(f"select '{m}' as metric, count_if({c}) as n from fact" for m, c in _tests.items())
-    + " union all select concat_ws(':', 'anomaly', step, type), count(*) from anomalies group by 1",
-)(lambda spark, sf: B.quality_stats(S.fact(spark, sf), table(spark, sf, "anomalies")).groupBy("metric").agg(F.sum("n").alias("n")))
+    f"{S.PREFIX}, {CONFLICTS}, dd as (select 1 from rates_npi group by {SAME_SQL}, {LISTS_SQL}) " + " union all ".join(f"select '{m}' as metric, count_if({c}) as n from fact" for m, c in _tests.items())
+    + " union all select 'npis_not_registered', count(distinct npi) from fact where scope_flag = 'not_registered' and is_valid_npi"
+    + " union all select 'rows_before_dedup', count(*) from rates_npi union all select 'rows_removed_by_dedup', (select count(*) from rates_npi) - (select count(*) from dd)"
+    + " union all select 'conflicting_keys', count(*) from conflicts union all select concat_ws(':', 'anomaly', step, type), count(*) from anomalies group by 1",
+)(lambda spark, sf: B.quality_stats(S.fact(spark, sf), table(spark, sf, "anomalies"), table(spark, sf, "rates_npi")).groupBy("metric").agg(F.sum("n").alias("n")))
+_conflict_order = "n_prices desc, npi nulls last, billing_code nulls last, tin nulls last, network nulls last, billing_class nulls last, service_text nulls last, negotiated_type nulls last"
+query("dq_conflict_page", f"{S.PREFIX}, {CONFLICTS} select * from conflicts order by {_conflict_order} limit 500")(lambda spark, sf: B.conflict_page(B.conflicts(S.fact(spark, sf))))
 query("dq_scope_by_code", f"{S.PREFIX} select billing_code, scope_flag, count(*) as n from fact where billing_class = 'professional' and rate_unit = 'dollars' group by 1, 2")(
     lambda spark, sf: S.fact(spark, sf).filter("billing_class = 'professional' and rate_unit = 'dollars'").groupBy("billing_code", "scope_flag").agg(F.count(F.lit(1)).alias("n"))
 )
@@ -493,13 +517,16 @@ query(
     """select file_id, format('in_network[{}].negotiated_rates[{}].negotiated_prices[{}]', i, j, k) as price_path,
 case when m is not null then format('provider_references[{}].provider_groups[{}].npi[{}]', m, n, p) end as npi_path, count(*) as n from rates_npi group by 1, 2, 3""",
 )(lambda spark, sf: table(spark, sf, "rates_npi").groupBy("file_id", X.price_path().alias("price_path"), X.npi_path().alias("npi_path")).agg(F.count(F.lit(1)).alias("n")))
-query(
-    "primary_taxonomy",
-    "select npi, case when len(taxonomy_codes) = 1 then taxonomy_codes[1] end as code, case when len(taxonomy_codes) = 0 then 'none' when len(taxonomy_codes) = 1 then 'only_code' else 'ambiguous' end as rule from nppes where primary_taxonomy_rule <> 'switch_Y'",
-)(
-    lambda spark, sf: table(spark, sf, "nppes").filter("primary_taxonomy_rule <> 'switch_Y'")
-    .select("npi", X.primary_code(F.col("taxonomy_codes"), F.transform("taxonomy_codes", lambda _: F.lit("N"))).alias("x")).select("npi", "x.code", "x.rule")
-)
+query("primary_taxonomy", "select npi, primary_taxonomy_code as code, primary_taxonomy_rule as rule from nppes")(lambda spark, sf: _primary(spark, sf))
+
+
+def _primary(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule over the registry's codes and switches; the switches, which the table doesn't keep, follow from what it says of them."""
+    on = lambda c: F.when((F.col("primary_taxonomy_rule") == "switch_Y") & (c == F.col("primary_taxonomy_code")), "Y").otherwise("N")
+    rows = table(spark, sf, "nppes").select("npi", X.primary_code(F.col("taxonomy_codes"), F.transform("taxonomy_codes", on)).alias("x"))
+    return rows.select("npi", "x.code", "x.rule")
+
+
 query(
     "display_names",
     "select npi, nullif(case when entity_type_code = '2' then org_name else concat_ws(' ', nullif(trim(first_name), ''), nullif(trim(middle_name), ''), nullif(trim(last_name), '')) end, '') as name from nppes",
@@ -581,18 +608,110 @@ case when json_type(y->'$.negotiated_rate') in ('DOUBLE', 'UBIGINT', 'BIGINT') t
 )(
     lambda spark, sf: E.rate_rows(table(spark, sf, "in_network")).groupBy("file_id", "i", "j", "k", "r", "provider_group_id", "negotiated_type", "negotiated_rate_raw", "negotiated_rate").agg(F.count(F.lit(1)).alias("n"))
 )
-query("extract_oddities")(lambda spark, sf: E.oddities(table(spark, sf, "in_network")))
+CODES, CODE_TYPE = ("90837", "90834", "90832"), "CPT"
+_CODES_SQL = "('90837', '90834', '90832')"
+_told = "case coalesce(json_type({0}), 'NULL') when 'NULL' then '' when 'OBJECT' then 'object' when 'ARRAY' then 'array' else {0}->>'$' end"
+_shape = "case coalesce(json_type({0}), 'NULL') when 'NULL' then 'null' when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'BOOLEAN' then 'boolean' when 'VARCHAR' then 'text' else 'number' end"
+_scalar_or_null = "coalesce(json_type({0}), 'NULL') not in ('ARRAY', 'NULL')"
+_none = "(json_type({0}) is null or json_type({0}) = 'NULL' or (json_type({0}) = 'ARRAY' and json_array_length({0}) = 0))"
+
+
+def _unknown(rows: str, obj: str, at: str, level: str) -> str:
+    known = ", ".join(f"'{k}'" for k in E.KNOWN[level])
+    return f"select file_id, 'unknown_key', key, {at} || '.' || key, '' from (select *, unnest(json_keys({obj})) as key from {rows} where {_obj.format(obj)}) where key not in ({known})"
+
+
+ODD_SQL = f"""item as (select row_number() over () as rid, file_id, i, negotiated_rates::json as v from in_network where json_valid(negotiated_rates)),
+el as (select *, format('in_network[{{}}].negotiated_rates[{{}}]', i, j) as pos from (select rid, file_id, i, unnest({_list.format("v")}) as x, unnest({_n.format("v")}) as j from item)),
+ob as (select * from el where {_obj.format("x")}),
+pr as (select *, pos || '.negotiated_prices[' || k || ']' as here from (select *, unnest({_list.format("x->'$.negotiated_prices'")}) as y, unnest({_n.format("x->'$.negotiated_prices'")}) as k from ob)),
+gr as (select *, pos || '.provider_groups[' || n || ']' as here from (select *, unnest({_list.format("x->'$.provider_groups'")}) as g, unnest({_n.format("x->'$.provider_groups'")}) as n from ob)),
+gn as (select *, here || '.npi[' || p || ']' as spot from (select *, unnest(json_extract(g->'$.npi', '$[*]')) as w, unnest(range(json_array_length(g->'$.npi')::bigint)) as p from gr where {_obj.format("g")} and json_type(g->'$.npi') = 'ARRAY')),
+odd as (
+select file_id, 'malformed_json' as type, null as key, format('in_network[{{}}].negotiated_rates', i) as json_path, '' as detail from in_network where not json_valid(negotiated_rates) and trim(negotiated_rates) <> ''
+union all select file_id, 'not_a_list', null, format('in_network[{{}}].negotiated_rates', i), {_shape.format("v")} from item where {_scalar_or_null.format("v")}
+union all select file_id, 'not_an_object', null, pos, {_shape.format("x")} from el where coalesce(json_type(x), 'NULL') <> 'OBJECT'
+union all {_unknown("el", "x", "pos", "rate")}
+{"".join(f"union all select file_id, 'not_a_list', null, pos || '.{c}', {_shape.format(f"x->'$.{c}'")} from ob where {_scalar_or_null.format(f"x->'$.{c}'")} " for c in ("negotiated_prices", "provider_references", "provider_groups"))}
+union all select file_id, 'rate_without_prices', null, pos, '' from ob where {_none.format("x->'$.negotiated_prices'")}
+union all select file_id, 'rate_without_providers', null, pos, '' from ob where {_none.format("x->'$.provider_references'")} and {_none.format("x->'$.provider_groups'")}
+union all select file_id, 'not_an_object', null, here, {_shape.format("g")} from gr where coalesce(json_type(g), 'NULL') <> 'OBJECT'
+union all {_unknown("gr", "g", "here", "group")}
+union all select file_id, 'missing_tin', 'tin', here, '' from gr where {_obj.format("g")} and (coalesce(json_type(g->'$.tin'), 'NULL') <> 'OBJECT' or len(json_keys(g->'$.tin')) = 0)
+union all select file_id, 'missing_npi', 'npi', here, {_told.format("(g->'$.npi')")} from gr where {_obj.format("g")} and (coalesce(json_type(g->'$.npi'), 'NULL') <> 'ARRAY' or json_array_length(g->'$.npi') = 0)
+union all select file_id, 'npi_not_10_digits', 'npi', spot, {_told.format("w")} from gn where not regexp_full_match({_told.format("w")}, '[0-9]{{10}}')
+union all select file_id, 'not_an_object', null, here, {_shape.format("y")} from pr where coalesce(json_type(y), 'NULL') <> 'OBJECT'
+union all {_unknown("pr", "y", "here", "price")}
+union all select file_id, 'rate_not_a_number', 'negotiated_rate', here, {_told.format("(y->'$.negotiated_rate')")} from pr where {_obj.format("y")} and coalesce(json_type(y->'$.negotiated_rate'), 'NULL') not in ('DOUBLE', 'UBIGINT', 'BIGINT', 'HUGEINT')
+union all select file_id, 'unknown_negotiated_type', 'negotiated_type', here, {_told.format("(y->'$.negotiated_type')")} from pr where {_obj.format("y")} and coalesce(y->>'$.negotiated_type', '') not in ('negotiated', 'derived', 'fee schedule', 'percentage', 'per diem')
+{"".join(f"union all select file_id, 'not_a_list', null, here || '.{c}', {_shape.format(f"y->'$.{c}'")} from pr where {_obj.format('y')} and {_scalar_or_null.format(f"y->'$.{c}'")} " for c in ("service_code", "billing_code_modifier"))}),
+pgs as (select file_id, m, unnest(provider_groups) as g, unnest(range(len(provider_groups))) as n from provider_references),
+refodd as (
+select file_id, 'missing_provider_group_id' as type, 'provider_group_id' as key, format('provider_references[{{}}]', m) as json_path, '' as detail from provider_references where provider_group_id is null
+union all select file_id, 'remote_provider_reference', 'location', format('provider_references[{{}}]', m), location from provider_references where location is not null
+union all select file_id, 'missing_tin', 'tin', format('provider_references[{{}}].provider_groups[{{}}]', m, n), '' from pgs where g is not null and (g.tin is null or coalesce(g.tin.type, g.tin.value, g.tin.business_name) is null)
+union all select file_id, 'missing_npi', 'npi', format('provider_references[{{}}].provider_groups[{{}}]', m, n), '' from pgs where g is not null and (g.npi is null or len(g.npi) = 0)
+union all select file_id, 'npi_not_10_digits', 'npi', format('provider_references[{{}}].provider_groups[{{}}].npi[{{}}]', m, n, p), coalesce(npi, '') from (
+  select file_id, m, n, unnest(g.npi) as npi, unnest(range(len(g.npi))) as p from pgs where g is not null) where not coalesce(regexp_full_match(npi, '[0-9]{{10}}'), false))"""
+_odd = ["file_id", "type", "key", "json_path", "detail"]
+query("extract_oddities", f"with {ODD_SQL} select *, count(*) as n from odd group by all")(
+    lambda spark, sf: E.oddities(table(spark, sf, "in_network")).groupBy(*_odd).agg(F.count(F.lit(1)).alias("n"))
+)
+query("reference_oddities", f"with {ODD_SQL} select *, count(*) as n from refodd group by all")(
+    lambda spark, sf: E.reference_oddities(table(spark, sf, "provider_references")).groupBy(*_odd).agg(F.count(F.lit(1)).alias("n"))
+)
+
+# ---- capitation -----------------------------------------------------------------------------------------------------------
+
+_target = f"(s->>'$.billing_code') in {_CODES_SQL} and (s->>'$.billing_code_type') = '{CODE_TYPE}'"
+CAP_SQL = f"""cap as (select row_number() over () as rid, file_id, i, negotiated_rates, covered_services from in_network where negotiation_arrangement = 'capitation'),
+svc as (select rid, file_id, i, unnest({_list.format("covered_services::json")}) as s, unnest({_n.format("covered_services::json")}) as c from cap where json_valid(covered_services)),
+own as (select rid, count(*) as n_covered_services, array_to_string(coalesce(list_sort(list(distinct s->>'$.billing_code') filter (where {_obj.format("s")} and {_target})), []), ',') as covered_target_codes from svc group by 1),
+crate as (select * from (select rid, file_id, i, unnest({_list.format("negotiated_rates::json")}) as x, unnest({_n.format("negotiated_rates::json")}) as j from cap where json_valid(negotiated_rates)) where {_obj.format("x")}),
+cprice as (select * from (select rid, file_id, i, j, unnest({_list.format("x->'$.negotiated_prices'")}) as y, unnest({_n.format("x->'$.negotiated_prices'")}) as k from crate) where {_obj.format("y")}),
+cgrp as (select rid, j, r, g->>'$' as gid from (select rid, j, unnest({_list.format("x->'$.provider_references'")}) as g, unnest({_n.format("x->'$.provider_references'")}) as r from crate)
+  union all select rid, j, null, format('inline:{{}}:{{}}:{{}}', i, j, n) from (select rid, i, j, unnest({_list.format("x->'$.provider_groups'")}) as g, unnest({_n.format("x->'$.provider_groups'")}) as n from crate) where {_obj.format("g")}),
+caprate as (select p.file_id, p.i, p.j, p.k, r, gid as provider_group_id, y->>'$.negotiated_type' as negotiated_type, y->>'$.negotiated_rate' as negotiated_rate_raw,
+  case when json_type(y->'$.negotiated_rate') in ('DOUBLE', 'UBIGINT', 'BIGINT', 'HUGEINT') then try_cast(y->>'$.negotiated_rate' as double) end as negotiated_rate, coalesce(covered_target_codes, '') as covered_target_codes, coalesce(n_covered_services, 0) as n_covered_services
+  from cprice p join cgrp g on p.rid = g.rid and p.j = g.j left join own on own.rid = p.rid)"""
+_joined = lambda df: df.withColumn("covered_target_codes", F.array_join("covered_target_codes", ","))
+query("capitation_items", f"with {CAP_SQL} select file_id, i, coalesce(covered_target_codes, '') as covered_target_codes, coalesce(n_covered_services, 0) as n_covered_services from cap left join own using (rid)")(
+    lambda spark, sf: _joined(E.capitation_items(table(spark, sf, "in_network"), CODES, CODE_TYPE))
+)
+query(
+    "covered_services",
+    f"""with {CAP_SQL} select file_id, i, c, s->>'$.billing_code_type' as billing_code_type, s->>'$.billing_code_type_version' as billing_code_type_version, s->>'$.billing_code' as billing_code,
+s->>'$.description' as description, coalesce({_target}, false) as is_target_code from svc where {_obj.format("s")}""",
+)(lambda spark, sf: E.covered_services(table(spark, sf, "in_network"), CODES, CODE_TYPE))
+_cap = ["file_id", "i", "j", "k", "r", "provider_group_id", "negotiated_type", "negotiated_rate_raw", "negotiated_rate", "covered_target_codes", "n_covered_services"]
+query("capitation_rates", f"with {CAP_SQL} select {', '.join(_cap)} from caprate")(lambda spark, sf: _joined(E.capitation_rates(table(spark, sf, "in_network"), CODES, CODE_TYPE)).select(*_cap))
+
+GROUPS_SQL = f"""grps as (select file_id, m, provider_group_id, n, g.tin.type as tin_type, g.tin.value as tin_value, unnest(g.npi) as npi, unnest(range(len(g.npi)))::int as p
+  from (select file_id, m, provider_group_id, unnest(provider_groups) as g, unnest(range(len(provider_groups)))::int as n from provider_references where provider_group_id is not null)
+  union all select file_id, null, format('inline:{{}}:{{}}:{{}}', i, j, n), n, g->>'$.tin.type', g->>'$.tin.value', w->>'$', p from (
+    select file_id, i, j, n, g, unnest({_list.format("g->'$.npi'")}) as w, unnest({_n.format("g->'$.npi'")})::int as p from (
+      select file_id, i, j, unnest({_list.format("x->'$.provider_groups'")}) as g, unnest({_n.format("x->'$.provider_groups'")})::int as n from (
+        select * from (select file_id, i, unnest({_list.format("v")}) as x, unnest({_n.format("v")}) as j from (select file_id, i, negotiated_rates::json as v from in_network where json_valid(negotiated_rates))) where {_obj.format("x")})) where {_obj.format("g")}))"""
+_groups = ["file_id", "m", "provider_group_id", "n", "tin_type", "tin_value", "npi", "p"]
+query("group_rows", f"with {GROUPS_SQL} select {', '.join(_groups)} from grps")(
+    lambda spark, sf: E.group_rows(table(spark, sf, "in_network"), table(spark, sf, "provider_references")).select(*_groups)
+)
 query(
-    "capitation_items",
-    """select file_id, i, array_to_string(list_sort(list(distinct s->>'$.billing_code') filter (where s->>'$.billing_code' = 'X2409' and s->>'$.billing_code_type' is not null)), ',') as codes, count(*) as n
-from (select file_id, i, unnest(json_extract(covered_services::json, '$[*]')) as s from in_network where negotiation_arrangement = 'capitation' and json_type(covered_services::json) = 'ARRAY') group by 1, 2""",
+    "capitation",
+    S.PREFIX + f""", {CAP_SQL}, {GROUPS_SQL}
+select c.file_id, c.i, c.j, c.k, c.negotiated_rate, c.covered_target_codes, g.npi, g.tin_value as tin, p.provider_name, p.practice_city, t.tag_type, t.tag_name
+from caprate c join grps g on g.file_id = c.file_id and g.provider_group_id = c.provider_group_id left join providers p on p.npi = g.npi left join tins t on t.tin = g.tin_value""",
 )(lambda spark, sf: _capitation(spark, sf))
-SQL.pop("capitation_items")
 
 
 def _capitation(spark: SparkSession, sf: str) -> DataFrame:
-    c = E.capitation_items(table(spark, sf, "in_network"), ["90837", "90834", "90832"], "CPT")
-    return c.withColumn("covered_target_codes", F.array_join("covered_target_codes", ","))
+    """Capitation rates per NPI with provider and tags, by rate."""
+    items = table(spark, sf, "in_network")
+    rates = _joined(E.capitation_rates(items, CODES, CODE_TYPE))
+    rows = rates.join(E.group_rows(items, table(spark, sf, "provider_references")).drop("m", "n", "p", "network_name"), ["file_id", "provider_group_id"]).withColumnRenamed("tin_value", "tin")
+    rows = rows.join(S.providers(spark, sf).select("npi", "provider_name", "practice_city"), "npi", "left").join(S.tins(spark, sf).select("tin", "tag_type", "tag_name"), "tin", "left")
+    rows = rows.select("file_id", "i", "j", "k", "negotiated_rate", "covered_target_codes", "npi", "tin", "provider_name", "practice_city", "tag_type", "tag_name")
+    return rows.orderBy(F.col("negotiated_rate").asc_nulls_last(), "file_id", "i", "j", "k")
 
 
 query(
@@ -605,14 +724,75 @@ query(
     f"""with {RATES_JSON} select key, count(*) as n from (select unnest(json_keys(y)) as key from price) where key not in ('negotiated_type', 'negotiated_rate', 'expiration_date', 'service_code', 'billing_class',
 'setting', 'billing_code_modifier', 'additional_information') group by 1""",
 )(
-    lambda spark, sf: E.oddities(table(spark, sf, "in_network").filter("coalesce(negotiation_arrangement, '') <> 'capitation'")).filter("type = 'unknown_key' and json_path like '%negotiated_prices[%'")
+    lambda spark, sf: E.oddities(table(spark, sf, "in_network").filter(~E.is_capitation())).filter("type = 'unknown_key' and json_path like '%negotiated_prices[%'")
     .groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 )
+_matched = f"billing_code in {_CODES_SQL} and billing_code_type = '{CODE_TYPE}'"
+_per = lambda name, what, src: f"union all select file_id, '{name}', {what} from {src} group by 1 "
 query(
     "file_counts",
-    f"""with {RATES_JSON}, a as (select file_id, count(*) as n_items, count_if(negotiation_arrangement = 'capitation') as n_capitation_items from in_network group by 1),
-b as (select p.file_id, count(distinct (p.i, p.j, p.k)) as n_price_rows, count(*) as n_rate_rows from price p join grp g on p.rid = g.rid and p.j = g.j group by 1)
-select file_id, n_items, n_capitation_items, coalesce(n_price_rows, 0) as n_price_rows, coalesce(n_rate_rows, 0) as n_rate_rows from a left join b using (file_id)""",
-)(
-    lambda spark, sf: (lambda t: E.file_counts(t, E.rate_rows(t), E.oddities(t)).select("file_id", "n_items", "n_capitation_items", "n_price_rows", "n_rate_rows"))(table(spark, sf, "in_network"))
+    f"""with {RATES_JSON.replace("from in_network where", f"from in_network where {_matched} and")}, {ODD_SQL}, {CAP_SQL}, {GROUPS_SQL},
+rrow as (select p.file_id, p.i, p.j, p.k, gid, y->>'$.negotiated_rate' as raw, json_type(y->'$.negotiated_rate') as t from price p join grp g on p.rid = g.rid and p.j = g.j),
+named as (select distinct file_id, gid as provider_group_id from rrow union select distinct file_id, provider_group_id from caprate),
+long as (select file_id, 'n_provider_references' as name, count(*) as n from provider_references group by 1
+{_per("n_provider_group_npi_rows_total", "count(*)", "grps")}{_per("n_in_network_items", "count(*)", "in_network")}{_per("n_items_matched", "count(*)", f"in_network where {_matched} and coalesce(negotiation_arrangement, '') <> 'capitation'")}
+{_per("n_price_rows", "count(distinct (i, j, k))", "rrow")}{_per("n_zero_price_rows", "count(distinct (i, j, k))", "rrow where t in ('DOUBLE', 'UBIGINT', 'BIGINT', 'HUGEINT') and try_cast(raw as double) = 0")}{_per("n_rate_rows", "count(*)", "rrow")}
+{_per("n_groups_referenced", "count(*)", "named")}{_per("n_provider_group_npi_rows_kept", "count(*)", "grps semi join named using (file_id, provider_group_id)")}
+{_per("n_capitation_items", "count(*)", "cap")}{_per("n_capitation_items_with_target_codes", "count(*)", "(select cap.file_id from cap join own using (rid) where covered_target_codes <> '')")}{_per("n_capitation_rows", "count(*)", "caprate")}
+{_per("n_capitation_covered_services", "count(*)", f"svc where {_obj.format('s')}")}{_per("n_anomalies", "count(*)", "(select file_id from odd union all select file_id from refodd union all select n.file_id from named n anti join grps using (file_id, provider_group_id) where n.provider_group_id is not null)")})
+select file_id, {", ".join(f"coalesce(sum(n) filter (where name = '{c}'), 0)::bigint as {c}" for c in E.COUNTERS)} from long group by 1""",
+)(lambda spark, sf: E.file_counts(table(spark, sf, "in_network"), table(spark, sf, "provider_references"), CODES, CODE_TYPE))
+query("undefined_log", f"with {RATES_JSON}, {GROUPS_SQL} select distinct file_id, 'undefined_provider_group' as type, gid as key from grp where gid is not null and not exists (select 1 from grps where grps.file_id = grp.file_id and grps.provider_group_id = grp.gid) and exists (select 1 from price where price.rid = grp.rid and price.j = grp.j)")(
+    lambda spark, sf: E.undefined_log(E.rate_rows(table(spark, sf, "in_network")), E.group_rows(table(spark, sf, "in_network"), table(spark, sf, "provider_references"))).select("file_id", "type", "key")
 )
+
+# ---- report, registry, trace ------------------------------------------------------------------------------------------------
+
+_cell = lambda *cs: "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '')" for c in cs) + ")"
+_by = lambda title, *cs, src="pr": f"select '{title}' as section, {_cell(*cs, 'n')} as cells from (select {', '.join(cs)}, count(*) as n from {src} group by all)"
+_top = lambda title, c: f"select '{title}', {_cell(c, 'n')} from (select {c}, count(*) as n from pr group by all order by n desc, {c} nulls last limit 15)"
+query(
+    "profile_report",
+    f"""with pr as (select distinct file_id, i, j, k, billing_code, negotiated_type, rate_unit, billing_class, setting, negotiation_arrangement, array_to_string(list_sort(service_code), ',') as service_code,
+  array_to_string(list_sort(billing_code_modifier), ',') as billing_code_modifier, is_zero_rate from rates), zr as (select * from pr where is_zero_rate), bad as (select npi from provider_groups where not coalesce(regexp_full_match(npi, '[0-9]{{10}}'), false)),
+fc as ({SQL["file_counts"]})
+{_by("prices by type, unit and class", "negotiated_type", "rate_unit", "billing_class")} union all {_by("prices by code, unit and class", "billing_code", "rate_unit", "billing_class")}
+union all {_by("prices by arrangement", "negotiation_arrangement")} union all {_by("prices by setting", "setting")} union all {_top("largest sets of places", "service_code")} union all {_top("largest sets of modifiers", "billing_code_modifier")}
+union all {_by("zero prices", "rate_unit", "billing_class", src="zr")} union all {_by("anomalies", "step", "type", src="anomalies")} union all {_by("npis that are none", "npi", src="bad")}
+union all select 'capitation', concat_ws('|', covered_target_codes, unit, n, coalesce(lo, ''), coalesce(hi, '')) from (select covered_target_codes, case negotiated_type when 'negotiated' then 'dollars' when 'derived' then 'dollars' when 'fee schedule' then 'dollars'
+  when 'percentage' then 'percent_of_billed_charges' when 'per diem' then 'dollars_per_day' else 'unknown' end as unit, count(*) as n, printf('%.2f', min(negotiated_rate)) as lo, printf('%.2f', max(negotiated_rate)) as hi from ({SQL["capitation_rates"]}) group by 1, 2)
+union all select 'counts per file', {_cell("file_id", *E.COUNTERS)} from fc""",
+)(lambda spark, sf: B.stacked_sections(_sections(spark, sf)))
+
+
+def _sections(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    t = lambda name: table(spark, sf, name)
+    cap = _joined(E.capitation_rates(t("in_network"), CODES, CODE_TYPE))
+    out = B.profile_sections(t("rates"), t("anomalies"), t("provider_groups"), cap, E.file_counts(t("in_network"), t("provider_references"), CODES, CODE_TYPE))
+    out["capitation"] = out["capitation"].withColumns({c: F.format_string("%.2f", c) for c in ("min_rate", "max_rate")})
+    return out
+
+
+_TAXONOMY = "select distinct primary_taxonomy_code as code from nppes where primary_taxonomy_code is not null and primary_taxonomy_code not like '9Z%'"
+query(
+    "taxonomy_log",
+    f"""with tax as ({_TAXONOMY}) select npi, 'taxonomy_code_not_listed' as type, primary_taxonomy_code as detail from nppes where primary_taxonomy_code is not null and primary_taxonomy_code not in (select code from tax)
+union all select npi, 'ambiguous_primary_taxonomy', array_to_string(taxonomy_codes, ',') from nppes where primary_taxonomy_rule = 'ambiguous'""",
+)(lambda spark, sf: B.registry_log(table(spark, sf, "nppes"), _taxonomy(spark, sf))[1])
+
+
+def _taxonomy(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of the codes in use but for one family."""
+    codes = table(spark, sf, "nppes").select(F.col("primary_taxonomy_code").alias("code")).filter("code is not null and code not like '9Z%'").distinct()
+    return codes.select("code", *[F.concat(F.lit(f"{c} of "), "code").alias(c) for c in ("grouping", "classification", "specialization", "display_name")])
+
+
+query(
+    "taxonomy_names",
+    f"with tax as ({_TAXONOMY}) select npi, case when code is not null then 'display_name of ' || code end as display_name from nppes left join tax on code = primary_taxonomy_code",
+)(lambda spark, sf: B.registry_log(table(spark, sf, "nppes"), _taxonomy(spark, sf))[0].select("npi", "display_name"))
+query(
+    "trace_rows",
+    """with f as (select file_id, count(*) as size from rates_npi group by 1) select file_id, size, i, j, k, r, m, n, p, npi from rates_npi join f using (file_id)
+order by size, file_id, i nulls last, j nulls last, k nulls last, r nulls last, m nulls last, n nulls last, p nulls last limit 20""",
+)(lambda spark, sf: (lambda t: B.trace_rows(t, t.groupBy("file_id").agg(F.count(F.lit(1)).alias("size"))).select("file_id", "size", *"ijkrmnp", "npi"))(table(spark, sf, "rates_npi")))

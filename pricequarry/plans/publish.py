@@ -22,7 +22,8 @@ REQUIRED = ("snapshot_date", "files", "schema_version")
 
 @contextlib.contextmanager
 def committed(final: str) -> Iterator[str]:
-    """A folder to fill; it takes the place of ``final`` when the block ends well, and is deleted when it doesn't."""
+    """A folder to fill; it takes the place of ``final`` when the block ends well, and is deleted when it doesn't. If it can't be put
+    in place, what was there before is put back."""
     staging = f"{final}.tmp"
     shutil.rmtree(staging, ignore_errors=True)
     os.makedirs(staging)
@@ -30,10 +31,15 @@ def committed(final: str) -> Iterator[str]:
         yield staging
         open(os.path.join(staging, "_SUCCESS"), "w").close()
         old = f"{final}.old"
-        shutil.rmtree(old, ignore_errors=True)
-        if os.path.exists(final):
+        if os.path.exists(final):  # else an earlier run ended between the two renames, and what it set aside is all there is
+            shutil.rmtree(old, ignore_errors=True)
             os.rename(final, old)
-        os.rename(staging, final)
+        try:
+            os.rename(staging, final)
+        except BaseException:
+            if os.path.exists(old):
+                os.rename(old, final)
+            raise
         shutil.rmtree(old, ignore_errors=True)
     except BaseException:
         shutil.rmtree(staging, ignore_errors=True)
@@ -67,14 +73,14 @@ def export_csv(df: DataFrame, path: str, single: bool = False) -> int:
     return seen.get["n"]
 
 
-def report(tables: Mapping[str, DataFrame], most: int = 1000) -> str:
-    """Small aggregates as fixed-width text, the first ``most`` rows of each."""
+def report(tables: Mapping[str, DataFrame]) -> str:
+    """Small aggregates as fixed-width text, all their rows."""
     parts = []
     for title, df in tables.items():
-        rows = [tuple("" if v is None else str(v) for v in r) for r in df.limit(most + 1).collect()]
+        rows = [tuple("" if v is None else str(v) for v in r) for r in df.collect()]
         width = [max([len(c), *(len(r[n]) for r in rows)]) for n, c in enumerate(df.columns)]
         line = lambda r, width=width: "  ".join(v.ljust(w) for v, w in zip(r, width, strict=True)).rstrip()
-        parts.append("\n".join([f"== {title}", line(df.columns), *map(line, rows[:most]), *(["..."] if len(rows) > most else [])]))
+        parts.append("\n".join([f"== {title}", line(df.columns), *map(line, rows)]))
     return "\n\n".join(parts) + "\n"
 
 

@@ -1,5 +1,8 @@
 """Fact and dimensions of the analytic calls, from the project's tables.
 
+They are built once, by ``write_site``, and stored: the fact numbered, partitioned by snapshot date and in the order of codes, so
+that scans of a code skip the other files. Calls read what is stored; what they join was joined when it was built.
+
 The test data has no tags and no coordinates: two small rules stand in for these inputs (``tag_columns`` by digits of the TIN,
 ``point`` by digits of the ZIP). Everything else is read from the tables.
 """
@@ -10,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricequarry.functions.scalar import expired, first_match, place_group
-from pricequarry.session import cut, table
+from pricequarry.session import cut, exists, fresh_folder, table
 
 # columns that order the rows of a code before they are numbered; together they are all columns of the fact that vary
 ORDER = (
@@ -19,7 +22,7 @@ ORDER = (
 )
 
 
-def providers(spark: SparkSession, sf: str) -> DataFrame:
+def build_providers(spark: SparkSession, sf: str) -> DataFrame:
     """One row per registered provider, with type by kind and leading characters of the primary code, and a map point."""
     n = table(spark, sf, "nppes")
     code = F.col("primary_taxonomy_code")
@@ -28,7 +31,7 @@ def providers(spark: SparkSession, sf: str) -> DataFrame:
         "Other",
     )
     zip5 = F.left("practice_zip", F.lit(5))
-    return n.select("npi", "provider_name", "entity_type_code", "org_name", "primary_taxonomy_code", kind.alias("provider_type"), "practice_city", "practice_state", zip5.alias("practice_zip5"), *point(zip5))
+    return n.select("npi", "provider_name", "entity_type_code", "org_name", "primary_taxonomy_code", kind.alias("provider_type"), prescriber(code).alias("is_prescriber"), "practice_city", "practice_state", zip5.alias("practice_zip5"), *point(zip5))
 
 
 def point(zip5: Column) -> tuple[Column, Column]:
@@ -48,7 +51,7 @@ def tag_columns(tin: Column) -> list[Column]:
     return [kind.alias("tag_type"), name.alias("tag_name"), sure.alias("tag_confidence")]
 
 
-def tins(spark: SparkSession, sf: str) -> DataFrame:
+def build_tins(spark: SparkSession, sf: str) -> DataFrame:
     """One row per TIN: most common name, all names by frequency, number of NPIs, tag."""
     g = table(spark, sf, "provider_groups").filter("tin_value is not null")
     named = g.filter("tin_business_name is not null").groupBy("tin_value", "tin_business_name").agg(F.count(F.lit(1)).alias("n"))
@@ -65,11 +68,11 @@ def latest_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
 
 
-def fact(spark: SparkSession, sf: str) -> DataFrame:
+def build_fact(spark: SparkSession, sf: str) -> DataFrame:
     """One row per deduplicated rate of the last snapshot with what filters need; dimensions join from the small side."""
     r = latest_snapshot(table(spark, sf, "rates_npi_dedup"))
-    p = providers(spark, sf)
-    t = tins(spark, sf)
+    p = build_providers(spark, sf)
+    t = build_tins(spark, sf)
     d = r.join(p, "npi", "left").join(t.drop("names").withColumnRenamed("tin", "tin_value").withColumnRenamed("n_npis", "tin_npis"), "tin_value", "left")
     scope = first_match([(F.col("entity_type_code").isNull(), "not_registered"), (F.col("entity_type_code") == "2", "organization")], "expected")
     return d.select(
@@ -96,17 +99,62 @@ def numbered(df: DataFrame, order: list[Column], name: str = "rate_id", partitio
     return placed.join(before, "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
 
 
-def fact_numbered(spark: SparkSession, sf: str) -> DataFrame:
-    return numbered(fact(spark, sf), [F.col(c).asc_nulls_last() for c in ORDER])
+def prescriber(code: Column) -> Column:
+    """Whether the primary code is of a kind that prescribes, by its leading characters; null is none."""
+    return F.coalesce(code.startswith("9C") | code.startswith("9D"), F.lit(False))
 
 
-def pos_sets(spark: SparkSession, sf: str) -> DataFrame:
+def build_pos_sets(spark: SparkSession, sf: str) -> DataFrame:
     """The different lists of place codes, numbered by their text; null is one of them."""
     r = latest_snapshot(table(spark, sf, "rates_npi_dedup"))
     sets = r.select(F.array_sort("service_code").alias("codes")).distinct()
     return sets.select(F.row_number().over(Window.orderBy(F.array_join("codes", ",").asc_nulls_last())).alias("pos_set_id"), "codes")
 
 
+def write_site(spark: SparkSession, sf: str, folder: str) -> None:
+    """Builds and stores all that the calls read; a mark is written last, so that half a site is none."""
+    numbers = numbered(build_fact(spark, sf), [F.col(c).asc_nulls_last() for c in ORDER])
+    numbers.write.mode("overwrite").option("compression", "zstd").partitionBy("snapshot_date").parquet(f"{folder}/fact")
+    for name, df in (("providers", build_providers(spark, sf)), ("tins", build_tins(spark, sf)), ("pos_sets", build_pos_sets(spark, sf))):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
+    spark.range(1).coalesce(1).write.mode("overwrite").json(f"{folder}/complete")
+
+
+def site(spark: SparkSession, sf: str) -> str:
+    """The folder of the site of these tables; built in the shared folder by the first call of an application that asks for it."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_pq_sites"):
+        sc._pq_sites = {}
+    if sf not in sc._pq_sites:
+        folder = fresh_folder(spark, "site")
+        write_site(spark, sf, folder)
+        sc._pq_sites[sf] = folder
+    return sc._pq_sites[sf]
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    if not exists(spark, f"{folder}/complete"):
+        raise FileNotFoundError(f"no complete site in {folder}")
+    return spark.read.parquet(f"{folder}/{name}")
+
+
+def fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored fact, with rate_id."""
+    return stored(spark, site(spark, sf), "fact")
+
+
+def providers(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, site(spark, sf), "providers")
+
+
+def tins(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, site(spark, sf), "tins")
+
+
+def pos_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, site(spark, sf), "pos_sets")
+
+
 PREFIX = r"""
 with snap as (select max(snapshot_date) as d from rates_npi_dedup),
 providers as (

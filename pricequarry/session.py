@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -51,6 +55,16 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def local_path(path: str) -> str:
+    """The path of a folder as the file system of every machine has it, for readers that open files themselves: a shared folder must
+    be mounted for these."""
+    if not re.match(r"[a-z][a-z0-9+.-]*:", path):
+        return path
+    if not path.startswith("file:"):
+        raise ValueError(f"{path} is on no mounted file system")
+    return "/" + path.removeprefix("file:").lstrip("/")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, in any file system that Spark reads."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -65,3 +79,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def retried(f: Callable[[], T], times: int = 3, on: tuple[type[BaseException], ...] = (OSError,), wait: float = 1.0) -> T:
+    """The result of ``f``, tried again after errors that may pass, each time after twice the wait; other errors are raised at once.
+    What tasks do, Spark tries again by itself; this is for what the driver does."""
+    for n in range(times):
+        try:
+            return f()
+        except on:
+            if n + 1 == times:
+                raise
+            time.sleep(wait * 2**n)
+    raise ValueError("times must be positive")

@@ -152,3 +152,23 @@ def selected(files: DataFrame, ids: Sequence[str] = (), in_state: bool = False)
     else:
         out = files.filter("is_in_state_file") if in_state else files
     return out.orderBy("file_name", "file_id")
+
+
+def attach(spark: SparkSession, folder: str, prefix: str, endings: Sequence[str] = ("", ".parquet")) -> list[str]:
+    """Makes the Parquet tables of a folder known as views ``prefix_name``, for reading only; gives the views' names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    names = sorted(s.getPath().getName() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p))
+    out = []
+    for n in names:
+        ending = next((e for e in sorted(endings, key=len, reverse=True) if n.endswith(e)), None)
+        if ending is not None and not n.startswith(("_", ".")):
+            view = f"{prefix}_{n.removesuffix(ending)}"
+            spark.read.parquet(f"{folder}/{n}").createOrReplaceTempView(view)
+            out.append(view)
+    return out
+
+
+def require_tables(spark: SparkSession, names: Iterable[str]) -> None:
+    """An error that names the tables and views that aren't there."""
+    if gone := [n for n in names if not spark.catalog.tableExists(n)]:
+        raise ValueError(f"no tables {gone}")

@@ -12,9 +12,9 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
-from pricequarry.plans import catalogue, problems
+from pricequarry.plans import catalogue, problems, roundtrips
 
-NAMES = sorted({**catalogue.QUERIES, **problems.QUERIES})
+NAMES = sorted({**catalogue.QUERIES, **problems.QUERIES, **roundtrips.QUERIES})
 
 
 @pytest.fixture(scope="module")

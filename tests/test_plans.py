@@ -167,6 +167,8 @@ def test_capitation(spark):
     items = spark.createDataFrame([("f", 0, "capitation", services), ("f", 1, "ffs", services), ("f", 2, "capitation", None)], "file_id string, i long, negotiation_arrangement string, covered_services string")
     got = [(r.i, r.covered_target_codes, r.n_covered_services) for r in E.capitation_items(items, ["1", "2"], "CPT").orderBy("i").collect()]
     assert got == [(0, ["1", "2"], 4), (2, [], 0)]
+    rows = [(r.i, r.c, r.billing_code, r.is_target_code) for r in E.covered_services(items, ["1"], "CPT").orderBy("c").collect()]
+    assert rows == [(0, 0, "1", True), (0, 1, "2", False), (0, 2, "1", False)]
 
 
 def test_paths():

@@ -30,8 +30,26 @@ def test_csv(spark, tmp_path):
 
 
 def test_report(spark):
-    text = P.report({"t": spark.range(3).selectExpr("id", "'x' as long_name").orderBy("id")}, most=2)
-    assert text.splitlines() == ["== t", "id  long_name", "0   x", "1   x", "..."]
+    text = P.report({"t": spark.range(2).selectExpr("id", "'x' as long_name").orderBy("id"), "u": spark.range(3000)})
+    assert text.splitlines()[:5] == ["== t", "id  long_name", "0   x", "1   x", ""] and len(text.splitlines()) == 3007
+
+
+def test_what_cant_be_put_in_place_leaves_the_old(tmp_path, monkeypatch):
+    final = str(tmp_path / "db")
+    with P.committed(final) as folder:
+        open(f"{folder}/a", "w").close()
+    real, calls = os.rename, []
+
+    def failing(a, b):
+        calls.append(b)
+        if len(calls) == 2:
+            raise OSError("no room")
+        real(a, b)
+
+    monkeypatch.setattr(os, "rename", failing)
+    with pytest.raises(OSError, match="room"), P.committed(final) as folder:
+        open(f"{folder}/b", "w").close()
+    assert sorted(os.listdir(final)) == ["_SUCCESS", "a"] and os.listdir(tmp_path) == ["db"]
 
 
 def test_publish_and_load(spark, tmp_path):
