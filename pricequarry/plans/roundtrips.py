@@ -65,8 +65,8 @@ def item_files(spark: SparkSession, sf: str) -> str:
     return f"{folder}/file_id=*/part-*"
 
 
-def _items(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spark.read.format("json_items").option("lists", "in_network").load(item_files(spark, sf))
+def _items(spark: SparkSession, sf: str, **options: str) -> DataFrame:
+    rows = spark.read.format("json_items").options(lists="in_network", **options).load(item_files(spark, sf))
     return rows.withColumn("file_id", F.regexp_extract("file", "file_id=([^/]*)/", 1))
 
 
@@ -87,7 +87,7 @@ def src_json_values(spark: SparkSession, sf: str) -> DataFrame:
 @query("select file_id, least(count(*), 3) as n from in_network group by 1")
 def src_json_skipped(spark: SparkSession, sf: str) -> DataFrame:
     """Only the first three elements of each list: the others are passed over in the source."""
-    return _items(spark, sf).filter((F.col("top_key") == "in_network") & F.col("idx").isin(0, 1, 2)).groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
+    return _items(spark, sf, keys="in_network", positions="0,1,2").groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select file_id, true as same from in_network group by 1")

@@ -3,8 +3,11 @@
 ``spark.read.format("json_items").option("path", ...).option("lists", "in_network,provider_references").load()`` gives one row
 per element of a named list and one per other top-level key, whatever the order of keys: (file, top_key, idx, raw, sha256,
 n_bytes). ``raw`` is the element's own text, so numbers keep every digit. Files are opened by content, gzip or plain, and read
-in pieces: a task's memory holds one element. One partition per file: neither gzip nor a JSON object can be split. Filters
-on top_key and idx reach the reader, which then skips other elements without building them.
+in pieces: a task's memory holds one element. One partition per file: neither gzip nor a JSON object can be split.
+
+The options ``keys`` and ``positions`` name the top-level keys and list positions to read; other elements are passed over without
+being built. Filters on top_key and idx do the same with the option ``pushdown``. It is off by default: Spark keeps what was pushed
+with the loaded relation, so that a relation scanned twice in one query, with different filters, would read too little.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
+from pricequarry.session import local_path
+
 SCHEMA = "file string, top_key string, idx long, raw string, sha256 string, n_bytes long"
 PIECE = 1 << 20
 GZIP = b"\x1f\x8b"
@@ -208,11 +213,16 @@ class ItemReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.path = options.get("path", "")
         self.lists = {x.strip() for x in options.get("lists", "").split(",") if x.strip()}
-        self.keys: set[str] | None = None
-        self.positions: set[int] | None = None
+        named = lambda o: {x.strip() for x in options[o].split(",")} if options.get(o) else None
+        self.keys: set[str] | None = named("keys")
+        self.positions: set[int] | None = {int(x) for x in named("positions")} if named("positions") else None
+        self.pushdown = options.get("pushdown", "false").lower() == "true"
 
     def pushFilters(self, filters):
         for f in filters:
+            if not self.pushdown:
+                yield f
+                continue
             values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
             if values is not None and f.attribute == ("top_key",):
                 self.keys = values if self.keys is None else self.keys & values
@@ -222,7 +232,7 @@ class ItemReader(DataSourceReader):
 
     def partitions(self) -> list[File]:
         out = []
-        for p in self.path.split(","):
+        for p in map(local_path, self.path.split(",")):
             found = sorted(glob.glob(os.path.join(p, "*"))) if os.path.isdir(p) else sorted(glob.glob(p))
             out += [File(x) for x in found if os.path.isfile(x) and not os.path.basename(x).startswith(("_", "."))]
         if not out:

@@ -66,5 +66,11 @@ def test_source_reads_plain_and_gzip(spark, tmp_path):
         assert (sha, n) == (hashlib.sha256(data).hexdigest(), len(data))
     one = df.filter((F.col("top_key") == "in_network") & (F.col("idx") == 1)).select("raw").collect()
     assert [r.raw for r in one] == ["1e2", "1e2"]
+    # the same relation twice in a query, with different filters
+    twice = df.filter("top_key = 'in_network'").unionByName(df.filter("top_key = '_file'")).groupBy("top_key").count().collect()
+    assert {r.top_key: r["count"] for r in twice} == {"in_network": sum(r.top_key == "in_network" for r in rows), "_file": 2}
+    load = lambda **o: spark.read.format("json_items").options(lists="in_network,provider_references", **o).load(str(tmp_path))
+    for some in (load(keys="in_network", positions="1"), load(pushdown=True).filter((F.col("top_key") == "in_network") & (F.col("idx") == 1))):
+        assert [r.raw for r in some.collect()] == ["1e2", "1e2"]
     with pytest.raises(Exception, match="FileNotFound|nothing"):
         spark.read.format("json_items").load(str(tmp_path / "nothing")).collect()
