@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricequarry.functions.columns import exact
+from pricequarry.session import cut
 
 # Fixed values of the published analysis of relative compactors: sections at the start, and the standard deviation of a rank
 # as a share of n, relative (times the distance to the protected tail) and at most.
@@ -188,8 +189,8 @@ def merged(dumps: Sequence[bytes]) -> RelativeSketch:
 
 
 def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One sketch per ``keys`` from rows (keys..., task, sketch): in rounds, none of which gives a task more than FAN_IN sketches
-    of a group and task range."""
+    """A round of merging rows (keys..., task, sketch): those of a group whose ``task`` lies in one range of FAN_IN become one, whose
+    task is the number of the range."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sketches.schema if f.name in keys)
     names = [f.name for f in sketches.schema if f.name in keys]
 
@@ -210,15 +211,15 @@ def sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 32, high:
     df = exact(df, [*keys, value])
     src = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keys], F.col(f"`{value}`").cast("double").alias("_v"), F.spark_partition_id().cast("long").alias("_task"))
     src = src.filter("_v is not null and not isnan(_v)")
-    parts = max(1, df.rdd.getNumPartitions())
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, RelativeSketch] = {}
-        task = 0
+        task = flush = 0
 
         def out() -> pa.RecordBatch:
             cols = [pa.array([g[i] for g in held], pa.string()) for i in range(len(keys))]
-            return pa.RecordBatch.from_arrays([*cols, pa.array([task] * len(held), pa.int64()), pa.array([s.dump() for s in held.values()], pa.binary())], names=[*keys, "task", "sketch"])
+            cols += [pa.array([n] * len(held), pa.int64()) for n in (task, flush)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([s.dump() for s in held.values()], pa.binary())], names=[*keys, "task", "flush", "sketch"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -238,23 +239,35 @@ def sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 32, high:
             if len(held) > most_groups:
                 yield out()
                 held.clear()
+                flush += 1
         if held:
             yield out()
 
-    ddl = ", ".join(f"`{c}` string" for c in keys) + (", " if keys else "") + "task long, sketch binary"
-    made = src.mapInArrow(build, ddl)
+    ddl = ", ".join(f"`{c}` string" for c in keys) + (", " if keys else "") + "task long, flush long, sketch binary"
+    made = cut(src.mapInArrow(build, ddl))
+    # a task with very many groups gives several sketches of one: each counts as a task of its own
+    most = made.agg(F.max("task").alias("t"), F.max("flush").alias("f")).first()
+    tasks, flushes = (most.t or 0) + 1, (most.f or 0) + 1
+    made = made.withColumn("task", F.col("task") + F.col("flush") * tasks).drop("flush")
+    return _merged_all(made, keys, tasks * flushes)
+
+
+def _merged_all(made: DataFrame, keys: Sequence[str], tasks: int) -> DataFrame:
+    """One sketch per ``keys`` from rows whose ``task`` is below ``tasks``."""
     while True:
         made = merge_sketches(made, keys)
-        parts = -(-parts // FAN_IN)
-        if parts == 1:
+        tasks = -(-tasks // FAN_IN)
+        if tasks == 1:
             return made.drop("task")
 
 
 def combine(made: DataFrame, keys: Sequence[str], over: Sequence[str], label: str = "*") -> DataFrame:
     """The sketches with ``over`` merged away, under ``label`` in those columns; the rows of ``made`` aren't part of it."""
     rest = [c for c in keys if c not in over]
-    rows = made.withColumn("task", F.pmod(F.xxhash64(*keys), F.lit(FAN_IN * FAN_IN)))
-    one = merge_sketches(merge_sketches(rows, rest), rest).drop("task")
+    most = made.groupBy(*rest).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    # as many numbers as the largest group has sketches: a range of FAN_IN numbers has about as many sketches
+    rows = made.withColumn("task", F.pmod(F.xxhash64(*keys), F.lit(most)).cast("long"))
+    one = _merged_all(rows, rest, most)
     return one.select(*[F.lit(label).alias(c) if c in over else F.col(c) for c in keys], "sketch")
 
 

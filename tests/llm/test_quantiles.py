@@ -76,3 +76,14 @@ def test_hot_group_over_many_tasks(spark):
     df = spark.range(0, 200_000, numPartitions=150).selectExpr("'hot' k", "double(id) v")
     (r,) = Q.percentiles(Q.sketches(df, ["k"], "v"), ["k"], [0.99]).collect()
     assert r.n == 200_000 and abs(r.value - 198_000) < 4 * 0.00041 * 200_000 and r.low <= 198_000 <= r.high
+
+
+def test_tasks_with_many_groups_and_many_days_to_merge(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 50 as string) as day", "cast(id % 7 as string) as code", "cast(id as double) as v").repartition(3)
+    few = Q.sketches(df, ["day", "code"], "v", most_groups=5)
+    rows = few.groupBy("day", "code").count().collect()
+    assert len(rows) == 350 and {r["count"] for r in rows} == {1}
+    n = {(r.day, r.code): r.n for r in Q.percentiles(few, ["day", "code"], [0.5]).collect()}
+    assert sum(n.values()) == 20_000
+    merged = {r.code: (r.n, r.min, r.max) for r in Q.percentiles(Q.combine(few, ["day", "code"], ["day"]), ["day", "code"], [0.5]).collect()}
+    assert merged == {str(c): (len(range(c, 20_000, 7)), float(c), float(range(c, 20_000, 7)[-1])) for c in range(7)}
