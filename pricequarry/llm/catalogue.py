@@ -109,9 +109,9 @@ def p9_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reading level of every English page with enough prose."""
-    documents = table(spark, sf_dir, "documents")
-    model = reading.train(documents, table(spark, sf_dir, "reading_labels"))
-    return reading.reading_levels(documents, model).select("doc_id", "band")
+    pages = reading.pages(table(spark, sf_dir, "documents"))
+    model = reading.train(pages, table(spark, sf_dir, "reading_labels"))
+    return reading.reading_levels(pages, model).select("doc_id", "band")
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p4_clusters, p7_percentiles, p7_within_bound, p8_plan, p8_fill, p8_checked, p9_found, p9_clean, p9_accounted, p10_found)}

@@ -4,7 +4,8 @@ One list of frequent words can't order these levels where the easiest texts are
 of all. So the lists are graded. Document frequencies per level come first from a bounded sample of labelled pages, then, by
 classifying every page with these, from the whole corpus; a word belongs to the lowest level at which it is frequent. The
 formula adds the shares of a page's listed words that lie above levels 1, 2 and 3 and its mean sentence length, with
-coefficients fitted to the labelled sample. Three passes over the pages, no shuffle of texts: tasks count words themselves.
+coefficients fitted to the labelled sample. One pass reads the pages' prose and stores its words; the passes over these count
+words in the tasks, so that no text is shuffled.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pricequarry.functions.columns import exact
 from pricequarry.llm.prose import prose, sentences
-from pricequarry.session import cut
+from pricequarry.session import cut, fresh_folder
 
 LEVELS = (1, 2, 3, 4)
 LONGEST = 40.0  # words a sentence counts for at most
@@ -45,9 +46,9 @@ class Model:
     coefficients: np.ndarray | None = None
     cuts: tuple[float, ...] = (1.5, 2.5, 3.5)
 
-    def guess(self, page: Page) -> int:
+    def guess(self, words: set[str]) -> int:
         """Naive Bayes over the words that the labelled pages have."""
-        known = [v for w in set(page.words) if (v := self.rows.get(w)) is not None]
+        known = [v for w in words if (v := self.rows.get(w)) is not None]
         return LEVELS[int(np.argmax(self.log_odds[known].sum(axis=0)))] if known else 0
 
     def features(self, page: Page) -> np.ndarray:
@@ -123,34 +124,49 @@ def calibrate(model: Model, pages: list[tuple[Page, int]]) -> None:
     model.cuts = cut_points(np.array([model.score(p) for p, _ in pages]), np.array([b for _, b in pages]))
 
 
-def _pages(documents: DataFrame, text: str, lang: str, language: str) -> DataFrame:
-    return documents.filter((F.col(lang) == language) & F.col(text).isNotNull())
+PAGES = pa.schema([("doc_id", pa.int64()), ("words", pa.string()), ("n_words", pa.int32()), ("n_sentences", pa.int32())])
 
 
-def train(
-    documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", language: str = "en", band: str = "band",
-    least_words: int = 60, most_labels: int = 20_000,
-) -> Model:
-    """The model from all pages and at most ``most_labels`` labelled ones (those of least doc_id; repeated labels: the median).
+def pages(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", language: str = "en", least_words: int = 60
+) -> DataFrame:
+    """(doc_id, words, n_words, n_sentences) of every page of the language with at least ``least_words`` words of prose, in lower case,
+    stored in the shared folder. Null texts, other and null languages and pages with less prose have no row; repeated pages have
+    a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                page = Page.of(t.as_py())
+                if len(page.words) >= least_words:
+                    rows.append((i, " ".join(page.words), len(page.words), page.n_sentences))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, PAGES, strict=True)], schema=PAGES)
+
+    documents = exact(documents, [doc_id, text, lang])
+    rows = documents.filter((F.col(lang) == language) & F.col(text).isNotNull()).select(F.col(doc_id).cast("long"), F.col(text))
+    folder = fresh_folder(documents.sparkSession, "pages")
+    rows.mapInArrow(run, "doc_id long, words string, n_words int, n_sentences int").write.option("compression", "zstd").parquet(folder)
+    return documents.sparkSession.read.parquet(folder)
+
+
+def train(found: DataFrame, labels: DataFrame, doc_id: str = "doc_id", band: str = "band", most_labels: int = 20_000) -> Model:
+    """The model from all ``pages`` and at most ``most_labels`` labelled ones (those of least doc_id; repeated labels: the median).
 
     Without any labelled page of enough prose the model is empty, and no page has a level.
     """
-    documents, labels = exact(documents, [doc_id, text, lang]), exact(labels, [doc_id, band])
-    given = labels.filter(F.col(band).between(1, 4)).groupBy(F.col(doc_id).cast("long").alias("k")).agg(F.floor(F.median(band) + 0.5).cast("int").alias("b"))
+    given = exact(labels, [doc_id, band]).filter(F.col(band).between(1, 4)).groupBy(F.col(doc_id).cast("long").alias("k"))
+    given = given.agg(F.floor(F.median(band) + 0.5).cast("int").alias("b"))
     bands = {r.k: r.b for r in given.orderBy("k").limit(most_labels).collect()}
 
-    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [(b, t) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) if (b := bands.get(i))]
-            pages = [Page.of(t.as_py()) for _, t in keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in keep], pa.int32()), pa.array([" ".join(p.words) for p in pages], pa.string()), pa.array([p.n_sentences for p in pages], pa.int32())],
-                names=["b", "words", "n"],
-            )
-
-    rows = _pages(documents, text, lang, language).select(F.col(doc_id).cast("long"), F.col(text))
-    sample = [(Page(r.words.split(), r.n), r.b) for r in rows.mapInArrow(words_of, "b int, words string, n int").collect()]
-    sample = [(p, b) for p, b in sample if len(p.words) >= least_words]
+            b = pa.array([bands.get(i) for i in batch.column(0).to_pylist()], pa.int32())
+            keep = b.is_valid()
+            yield pa.RecordBatch.from_arrays([b.filter(keep), batch.column(1).filter(keep), batch.column(2).filter(keep)], names=["b", "words", "n"])
+
+    rows = found.select("doc_id", "words", "n_sentences").mapInArrow(labelled, "b int, words string, n int").collect()
+    sample = [(Page(r.words.split(), r.n), r.b) for r in rows]
     if not sample:
         return Model()
     guess = first_guess(sample)
@@ -165,48 +181,36 @@ def train(
             return pa.RecordBatch.from_arrays([pa.array([None, *words], pa.string()), *cols], names=["w", "c1", "c2", "c3", "c4"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                page = Page.of(t)
-                if len(page.words) >= least_words and (b := guess.guess(page)):
+            for words in batch.column(0).to_pylist():
+                different = set(words.split())
+                if b := guess.guess(different):
                     n[b - 1] += 1
-                    df[b - 1].update(set(page.words))
+                    df[b - 1].update(different)
             if sum(map(len, df)) > 400_000:
                 yield partial()
                 df, n = [Counter() for _ in LEVELS], [0] * 4
         yield partial()
 
-    found = _pages(documents, text, lang, language).select(text).mapInArrow(counts, "w string, c1 long, c2 long, c3 long, c4 long")
-    found = cut(found.groupBy("w").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in LEVELS]))
-    total = found.filter("w is null").first()
+    seen = found.select("words").mapInArrow(counts, "w string, c1 long, c2 long, c3 long, c4 long")
+    seen = cut(seen.groupBy("w").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in LEVELS]))
+    total = seen.filter("w is null").first()
     size = np.array([total[f"c{i}"] for i in LEVELS], float)
-    often = found.filter(F.col("w").isNotNull() & (F.col("c1") + F.col("c2") + F.col("c3") + F.col("c4") >= max(3, 0.001 * size.sum())))
+    often = seen.filter(F.col("w").isNotNull() & (F.col("c1") + F.col("c2") + F.col("c3") + F.col("c4") >= max(3, 0.001 * size.sum())))
     model = Model(levels=graded({r.w: np.array(r[1:], float) for r in often.toLocalIterator()}, size))
     calibrate(model, sample)
     return model
 
 
-def reading_levels(
-    documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", language: str = "en", least_words: int = 60
-) -> DataFrame:
-    """(doc_id, band, score, n_words, n_sentences) of every page of the language with at least ``least_words`` words of prose.
-
-    An empty model gives no row. Null texts, other and null languages and pages with less prose have no row; repeated pages have a row each.
-    """
+def reading_levels(found: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, band, score, n_words, n_sentences) of every row of ``pages``. An empty model gives no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                page = Page.of(t)
-                if len(page.words) >= least_words:
-                    score = model.score(page)
-                    for c, v in zip(out, (i, model.band(score), score, len(page.words), page.n_sentences), strict=True):
-                        c.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "band", "score", "n_words", "n_sentences"])
+            scores = [model.score(Page(w.split(), n)) for w, n in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            bands = pa.array([model.band(s) for s in scores], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), bands, pa.array(scores, pa.float64()), batch.column(2), batch.column(3)], names=["doc_id", "band", "score", "n_words", "n_sentences"])
 
-    documents = exact(documents, [doc_id, text, lang])
-    rows = _pages(documents, text, lang, language).select(F.col(doc_id).cast("long"), F.col(text))
+    rows = found.select("doc_id", "words", "n_words", "n_sentences")
     if model.coefficients is None:
         rows = rows.limit(0)
     return rows.mapInArrow(run, "doc_id long, band int, score double, n_words int, n_sentences int")

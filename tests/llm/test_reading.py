@@ -7,7 +7,7 @@ import pytest
 from conftest import clashing
 
 from pricequarry.llm.prose import outside_braces, prose, sentences
-from pricequarry.llm.reading import Page, cut_points, graded, reading_levels, train
+from pricequarry.llm.reading import Page, cut_points, graded, pages, reading_levels, train
 
 DDL = "doc_id long, text string, lang string"
 
@@ -32,24 +32,24 @@ def test_held_out_levels(spark):
     labels = [(i, 1 + i % 4, "r") for i in range(0, 40)] + [(3, 3, "r2"), (None, 1, "r"), (5, None, "r"), (999, 2, "r")]
     d = spark.createDataFrame(docs, DDL)
     lab = spark.createDataFrame(labels, "doc_id long, band int, rater string")
-    model = train(d, lab)
-    got = {r.doc_id: r.band for r in reading_levels(d, model).collect()}
+    found = pages(d)
+    got = {r.doc_id: r.band for r in reading_levels(found, train(found, lab)).collect()}
     assert len(got) == len(docs) and np.mean([got[i] == 1 + i % 4 for i in range(40, 120)]) > 0.95
-    assert {r.doc_id: r.band for r in reading_levels(clashing(d), train(clashing(d), clashing(lab))).collect()} == got
+    assert {r.doc_id: r.band for r in reading_levels(pages(clashing(d)), train(pages(clashing(d)), clashing(lab))).collect()} == got
 
 
 def test_which_pages_have_a_level(spark):
     docs = corpus(40)
     d = spark.createDataFrame(docs, DDL)
-    model = train(d, spark.createDataFrame([(i, 1 + i % 4) for i in range(40)], "doc_id long, band int"))
+    model = train(pages(d), spark.createDataFrame([(i, 1 + i % 4) for i in range(40)], "doc_id long, band int"))
     text = docs[1][1]
     odd = [(1, None, "en"), (2, "", "en"), (3, text, "de"), (4, text, None), (5, "{{x|" + text.replace("\n", " ") + "}}", "en"), (6, "one two. " * 29, "en"), (7, text, "en"), (7, text, "en"), (8, text * 300, "en")]
-    got = sorted(r.doc_id for r in reading_levels(spark.createDataFrame(odd, DDL), model).collect())
+    got = sorted(r.doc_id for r in reading_levels(pages(spark.createDataFrame(odd, DDL)), model).collect())
     assert got == [7, 7, 8]
-    assert reading_levels(d.limit(0), model).collect() == []
+    assert reading_levels(pages(d.limit(0)), model).collect() == []
     none = spark.createDataFrame([(999, 2)], "doc_id long, band int")
-    for empty in (train(d, none), train(d, none.limit(0)), train(d.limit(0), none)):
-        assert reading_levels(d, empty).collect() == []
+    for empty in (train(pages(d), none), train(pages(d), none.limit(0)), train(pages(d.limit(0)), none)):
+        assert reading_levels(pages(d), empty).collect() == []
 
 
 def test_prose():
