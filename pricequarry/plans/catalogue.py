@@ -14,7 +14,8 @@ from pricequarry.plans import extract as E
 from pricequarry.plans import index as I
 from pricequarry.plans import star as S
 from pricequarry.plans.filters import Filters, core_subset
-from pricequarry.session import table
+from pricequarry.session import fresh_folder, table
+from pricequarry.settings import CODE_TYPE, CODES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -337,6 +338,14 @@ def rates_fact_numbered(spark: SparkSession, sf: str) -> DataFrame:
     return n.agg(F.min("rate_id").alias("lo"), F.max("rate_id").alias("hi"), F.count(F.lit(1)).alias("n"), F.count_distinct("rate_id").alias("n_ids"))
 
 
+@query("site_built", f"{S.PREFIX} select 'fact' as name, count(*) as n from fact union all select 'providers', count(*) from providers union all select 'tins', count(*) from tins")
+def site_built(spark: SparkSession, sf: str) -> DataFrame:
+    """A site built and stored from the start, and the rows of its tables."""
+    folder = fresh_folder(spark, "site")
+    S.write_site(spark, sf, folder)
+    return B.stacked([S.stored(spark, folder, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in ("fact", "providers", "tins")])
+
+
 @query("pos_sets", f"{S.PREFIX} select row_number() over (order by codes nulls last) as pos_set_id, codes from (select distinct array_to_string(list_sort(service_code), ',') as codes from fact)")
 def pos_sets(spark: SparkSession, sf: str) -> DataFrame:
     return S.pos_sets(spark, sf).withColumn("codes", F.array_join("codes", ","))
@@ -489,6 +498,20 @@ query(
     f"""{S.PREFIX}, n as (select scope_flag, practice_city, count(distinct npi) as n from fact where practice_city is not null group by 1, 2)
 select * from (select *, row_number() over (partition by scope_flag order by n desc, practice_city) as place from n) where place <= 10""",
 )(lambda spark, sf: B.top_per_group(S.fact(spark, sf), "scope_flag", "practice_city", "npi"))
+query(
+    "drift_forced",
+    """with d as (select distinct snapshot_date from rates_npi_dedup order by 1 desc limit 2) select billing_code, count(*) as n_before from rates_npi_dedup where snapshot_date = (select min(snapshot_date) from d) group by 1""",
+)(lambda spark, sf: _checked(spark, sf))
+
+
+def _checked(spark: SparkSession, sf: str) -> DataFrame:
+    """With a limit of nothing the check ends in an error, unless it is forced."""
+    rows = table(spark, sf, "rates_npi_dedup")
+    last = rows.agg(F.max("snapshot_date")).scalar()
+    before, now = S.latest_snapshot(rows.filter(F.col("snapshot_date") < last)), rows.filter(F.col("snapshot_date") == last)
+    return B.check_drift(before, now, "billing_code", threshold=0.0, force=True, wanted=("no such code",)).select("billing_code", "n_before")
+
+
 query(
     "drift_check",
     f"""with d as (select distinct snapshot_date from rates_npi_dedup order by 1 desc limit 2), b as (select billing_code, count(*) as n_before from rates_npi_dedup where snapshot_date = (select min(snapshot_date) from d) group by 1),
@@ -608,7 +631,6 @@ case when json_type(y->'$.negotiated_rate') in ('DOUBLE', 'UBIGINT', 'BIGINT') t
 )(
     lambda spark, sf: E.rate_rows(table(spark, sf, "in_network")).groupBy("file_id", "i", "j", "k", "r", "provider_group_id", "negotiated_type", "negotiated_rate_raw", "negotiated_rate").agg(F.count(F.lit(1)).alias("n"))
 )
-CODES, CODE_TYPE = ("90837", "90834", "90832"), "CPT"
 _CODES_SQL = "('90837', '90834', '90832')"
 _told = "case coalesce(json_type({0}), 'NULL') when 'NULL' then '' when 'OBJECT' then 'object' when 'ARRAY' then 'array' else {0}->>'$' end"
 _shape = "case coalesce(json_type({0}), 'NULL') when 'NULL' then 'null' when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'BOOLEAN' then 'boolean' when 'VARCHAR' then 'text' else 'number' end"

@@ -54,6 +54,23 @@ def p2_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unified(rows, "anomalies", renames=drift.schema_changes(rows))
 
 
+def p2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every filled cell of the two unified tables, before renamed fields are put together: row, field and value by its type."""
+    rows = table(spark, sf_dir, "feed_rows").select("row_no", "feed", "record_kind", "file_id", "file_date", "body")
+    out = []
+    for kind in ("rates", "anomalies"):
+        wide = drift.unified(rows, kind)
+        cells = []
+        for f in wide.schema:
+            if f.name not in rows.columns:
+                c, t = F.col(f"`{f.name}`"), f.dataType.simpleString()
+                num, txt, size = (c if t == "double" else F.lit(None)).cast("double"), (c if t in ("string", "boolean") else F.lit(None)).cast("string"), F.when(c.isNotNull(), F.size(c)) if t == "array<string>" else F.lit(None)
+                cells.append(F.struct(F.lit(f.name).alias("field"), num.alias("num"), txt.alias("txt"), size.cast("int").alias("n_items")))
+        flat = wide.select("row_no", "record_kind", F.explode(F.array(*cells)).alias("x")).select("row_no", "record_kind", "x.*")
+        out.append(flat.filter("num is not null or txt is not null or n_items is not null"))
+    return out[0].unionByName(out[1])
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every child of in_network and provider_references with its position path."""
     return nested.children(table(spark, sf_dir, "in_network"), table(spark, sf_dir, "provider_references"))
@@ -107,7 +124,7 @@ def p6_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_stats, p2_found, p2_fields, p2_rates, p2_anomalies, p3_found, p3_prices, p3_references, p3_services, p3_npis, p3_groups, p5_found, p6_found, p6_nppes, p6_anomalies)
+    for f in (p1_found, p1_stats, p2_found, p2_fields, p2_rates, p2_anomalies, p2_cells, p3_found, p3_prices, p3_references, p3_services, p3_npis, p3_groups, p5_found, p6_found, p6_nppes, p6_anomalies)
 }
 
 _FIELD = r'("(?:[^"]|"")*"|[^",]*)'
@@ -176,12 +193,12 @@ union all select file_id, 'npi', format('provider_references[{{}}].provider_grou
 """
 
 _FEED = """
-with rec as (select feed, record_kind, file_id, cast(file_date as varchar) as file_date, body::json as b from feed_rows where json_valid(body) and json_type(body::json) = 'OBJECT'),
-top as (select feed, record_kind, file_id, file_date, b, key, json_extract(b, '$."' || key || '"') as x from (select *, unnest(json_keys(b)) as key from rec)),
+with rec as (select row_no, feed, record_kind, file_id, cast(file_date as varchar) as file_date, body::json as b from feed_rows where json_valid(body) and json_type(body::json) = 'OBJECT'),
+top as (select row_no, feed, record_kind, file_id, file_date, b, key, json_extract(b, '$."' || key || '"') as x from (select *, unnest(json_keys(b)) as key from rec)),
 sub as (select * from top where json_type(x) = 'OBJECT'),
 leaf as (
-  select feed, record_kind, file_id, file_date, b, key as field, x from top where json_type(x) <> 'OBJECT'
-  union all select feed, record_kind, file_id, file_date, b, key || '.' || k2, json_extract(x, '$."' || k2 || '"') from (select *, unnest(json_keys(x)) as k2 from sub)),
+  select row_no, feed, record_kind, file_id, file_date, b, key as field, x from top where json_type(x) <> 'OBJECT'
+  union all select row_no, feed, record_kind, file_id, file_date, b, key || '.' || k2, json_extract(x, '$."' || k2 || '"') from (select *, unnest(json_keys(x)) as k2 from sub)),
 typed as (
   select *, case json_type(x) when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'NULL' then null else 'number' end as t,
          case when json_type(x) = 'NULL' then null when json_type(x) = 'ARRAY' then x::varchar else x->>'$' end as v,
@@ -191,6 +208,11 @@ _P2_FIELDS = f"""{_FEED}
 select record_kind, field, array_to_string(ts, ',') as types, case when list_contains(ts, 'array') then 'array<string>' when len(ts) <> 1 then 'string' when ts[1] = 'number' then 'double' when ts[1] = 'boolean' then 'boolean'
        else 'string' end as promoted, n_files, n_values
 from (select record_kind, field, coalesce(list_sort(list(distinct t) filter (where t is not null)), []) as ts, count(distinct (feed, file_id)) as n_files, count(v) as n_values from typed group by 1, 2)"""
+_P2_CELLS = f"""{_FEED}, prom as (select record_kind, field, promoted from ({_P2_FIELDS}))
+select row_no, record_kind, replace(field, '.', '__') || case when lower(field) in ('row_no', 'feed', 'record_kind', 'file_id', 'file_date') then '_field' else '' end as field,
+case when promoted = 'double' then v::double end as num, case when promoted in ('string', 'boolean') then v end as txt,
+case when promoted = 'array<string>' then case when json_type(x) = 'ARRAY' then json_array_length(x) else 1 end end::int as n_items
+from typed join prom using (record_kind, field) where json_type(x) <> 'NULL'"""
 _P2_FOUND = f"""{_FEED},
 file as (select *, row_number() over (partition by feed, record_kind order by file_date, file_id) as seq from (select distinct feed, record_kind, file_id, cast(file_date as varchar) as file_date from feed_rows)),
 h as (select feed, record_kind, seq, any_value(file_id) as file_id, field, list_sort(list(distinct t) filter (where t is not null)) as ts from typed join file using (feed, record_kind, file_id, file_date) group by feed, record_kind, seq, field),
@@ -239,6 +261,7 @@ from (select 'billing_code' as key_field, billing_code as key_value, negotiated_
 where key_value is not null group by 1, 2""",
     "p2_found": _P2_FOUND,
     "p2_fields": _P2_FIELDS,
+    "p2_cells": _P2_CELLS,
     "p3_found": _P3_FOUND,
     "p3_prices": _P3_PRICES,
     "p3_references": _P3_REFERENCES,

@@ -17,11 +17,12 @@ from pricequarry.plans import extract as E
 from pricequarry.plans import index as I
 from pricequarry.plans import publish as P
 from pricequarry.plans import star as S
-from pricequarry.plans.catalogue import CODE_TYPE, CODES, QUERIES as CALLS
+from pricequarry.plans.catalogue import QUERIES as CALLS
 from pricequarry.plans.catalogue import SQL as CALLS_SQL
 from pricequarry.plans.service import Service
 from pricequarry.plans.trace import verified
 from pricequarry.session import fresh_folder, local_path, table
+from pricequarry.settings import CODE_TYPE, CODES
 from pricequarry.sources import files, json_items
 from pricequarry.streaming import arrivals
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 PREFIX = "PRICEQUARRY_"
+# The billing codes that are extracted, and their type.
+CODES, CODE_TYPE = ("90837", "90834", "90832"), "CPT"
 SECRET = ("key", "secret", "token", "password")
 
 

@@ -6,6 +6,8 @@ import csv
 import io
 import os
 import re
+import shutil
+import urllib.request
 import zipfile
 from collections.abc import Iterable, Sequence
 from xml.etree import ElementTree
@@ -154,6 +156,21 @@ def selected(files: DataFrame, ids: Sequence[str] = (), in_state: bool = False)
     return out.orderBy("file_name", "file_id")
 
 
+def downloaded(url: str, path: str) -> str:
+    """``path`` with what the URL serves; one that is there already is taken as it is. What arrives is written beside it and renamed
+    when it is whole, so that a broken download leaves nothing that looks complete."""
+    if not os.path.exists(path):
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        with urllib.request.urlopen(url) as src, open(f"{path}.part", "wb") as dst:  # noqa: S310
+            shutil.copyfileobj(src, dst, 1 << 20)
+            told = src.headers.get("Content-Length")
+        if told is not None and int(told) != os.path.getsize(f"{path}.part"):
+            os.remove(f"{path}.part")
+            raise OSError(f"{url}: not all of it arrived")
+        os.replace(f"{path}.part", path)
+    return path
+
+
 def attach(spark: SparkSession, folder: str, prefix: str, endings: Sequence[str] = ("", ".parquet")) -> list[str]:
     """Makes the Parquet tables of a folder known as views ``prefix_name``, for reading only; gives the views' names."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -18,6 +18,7 @@ import hashlib
 import io
 import os
 import re
+import urllib.request
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
@@ -38,11 +39,15 @@ class JsonError(ValueError):
     """The text isn't the JSON object it should be."""
 
 
+def is_url(path: str) -> bool:
+    return re.match(r"https?://", path) is not None
+
+
 class HashedFile(io.RawIOBase):
-    """A file whose bytes are hashed and counted as they are read."""
+    """A file, or what a URL serves, whose bytes are hashed and counted as they are read."""
 
     def __init__(self, path: str) -> None:
-        self.inner = open(path, "rb")  # noqa: SIM115
+        self.inner = urllib.request.urlopen(path) if is_url(path) else open(path, "rb")  # noqa: S310, SIM115
         self.hash, self.n = hashlib.sha256(), 0
 
     def readable(self) -> bool:
@@ -62,10 +67,9 @@ class HashedFile(io.RawIOBase):
 
 def open_text(path: str) -> tuple[io.TextIOBase, HashedFile]:
     """The text of a plain or gzip file, told apart by its first bytes, and the hasher of the bytes as stored."""
-    with open(path, "rb") as f:
-        zipped = f.read(2) == GZIP
     source = HashedFile(path)
     buffered = io.BufferedReader(source, PIECE)
+    zipped = buffered.peek(2)[:2] == GZIP
     return io.TextIOWrapper(gzip.GzipFile(fileobj=buffered) if zipped else buffered, "utf-8-sig"), source
 
 
@@ -232,7 +236,11 @@ class ItemReader(DataSourceReader):
 
     def partitions(self) -> list[File]:
         out = []
-        for p in map(local_path, self.path.split(",")):
+        for p in self.path.split(","):
+            if is_url(p):
+                out.append(File(p))
+                continue
+            p = local_path(p)
             found = sorted(glob.glob(os.path.join(p, "*"))) if os.path.isdir(p) else sorted(glob.glob(p))
             out += [File(x) for x in found if os.path.isfile(x) and not os.path.basename(x).startswith(("_", "."))]
         if not out:

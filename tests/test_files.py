@@ -71,3 +71,23 @@ def test_newest_and_selection(spark, tmp_path):
     assert ids() == ["2", "1"] and ids(in_state=True) == ["1"] and ids(ids=["2"]) == ["2"]
     with pytest.raises(ValueError, match="unknown"):
         S.selected(f, ids=["2", "3"])
+
+
+def test_downloads_are_whole_or_not_there(tmp_path):
+    (tmp_path / "src").write_bytes(b"abc" * 1000)
+    url = (tmp_path / "src").as_uri()
+    path = S.downloaded(url, str(tmp_path / "cache" / "x"))
+    (tmp_path / "src").write_bytes(b"other")
+    assert S.downloaded(url, path) == path and open(path, "rb").read() == b"abc" * 1000
+    with pytest.raises(OSError):
+        S.downloaded((tmp_path / "none").as_uri(), str(tmp_path / "cache" / "y"))
+    assert [p.name for p in (tmp_path / "cache").iterdir()] == ["x"]
+
+
+def test_attached_tables(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    spark.range(2).write.parquet(str(tmp_path / "b"))
+    assert S.attach(spark, str(tmp_path), "t") == ["t_a", "t_b"] and spark.table("t_a").count() == 3
+    S.require_tables(spark, ["t_a"])
+    with pytest.raises(ValueError, match="t_c"):
+        S.require_tables(spark, ["t_a", "t_c"])

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import functools
 import gzip
 import hashlib
+import http.server
 import io
 import json
+import threading
 
 import pytest
 from hypothesis import given, settings
@@ -74,3 +77,16 @@ def test_source_reads_plain_and_gzip(spark, tmp_path):
         assert [r.raw for r in some.collect()] == ["1e2", "1e2"]
     with pytest.raises(Exception, match="FileNotFound|nothing"):
         spark.read.format("json_items").load(str(tmp_path / "nothing")).collect()
+
+
+def test_source_reads_what_a_url_serves(spark, tmp_path):
+    (tmp_path / "doc.json").write_bytes(gzip.compress(DOC.encode()))
+    handler = functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path))
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), handler) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        J.register(spark)
+        rows = spark.read.format("json_items").option("lists", "in_network").load(f"http://127.0.0.1:{server.server_port}/doc.json").collect()
+        server.shutdown()
+    (whole,) = [r for r in rows if r.top_key == "_file"]
+    data = (tmp_path / "doc.json").read_bytes()
+    assert (whole.sha256, whole.n_bytes) == (hashlib.sha256(data).hexdigest(), len(data)) and [r.idx for r in rows if r.top_key == "in_network"]

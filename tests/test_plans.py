@@ -11,7 +11,7 @@ from pricequarry.plans import analytics as A
 from pricequarry.plans import build as B
 from pricequarry.plans import extract as E
 from pricequarry.plans import star as S
-from pricequarry.plans.filters import Filters, core_subset
+from pricequarry.plans.filters import Filters, core_subset, drilled
 from pricequarry.plans.trace import path_steps, resolve, verified
 
 
@@ -78,6 +78,20 @@ def test_group_totals(fact):
     assert rows(h) == rows(u)
 
 
+def test_the_rows_behind_a_group(fact):
+    for by in ("tin_code", "provider_type_code", "network_code", "tag_code"):
+        group = A.summarize(fact, Filters(), by).orderBy(F.desc("n_rows"), *A.GROUPINGS[by]).filter(F.col(A.GROUPINGS[by][0]).isNotNull()).first().asDict()
+        assert drilled(Filters(), group).apply(fact).count() == group["n_rows"]
+
+
+def test_pages_and_totals(fact):
+    n = A.total(fact, Filters()).first().n_total
+    pages = [A.rate_explorer(fact, Filters(), k, 5000, "provider_name", "desc").count() for k in range(1, n // 5000 + 3)]
+    assert sum(pages) == n and pages[-1] == 0
+    pts = A.marker_radius(A.map_points(fact, Filters(), "90837")).orderBy("n_providers").collect()
+    assert pts[-1].radius == 16.0 and pts[0].radius >= 4 and A.capped(A.map_points(fact, Filters(), "90837", 2), 2).first().capped
+
+
 def test_unknown_options_raise(fact):
     for call in (lambda: A.code_summary(fact, Filters(), "x"), lambda: A.summarize(fact, Filters(), "x"), lambda: A.sort_key("x", "asc", ["y"]), lambda: A.suggest(fact, "x", "y")):
         with pytest.raises(ValueError):
