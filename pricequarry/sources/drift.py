@@ -47,14 +47,24 @@ def leaves(record: object, prefix: str = "") -> Iterator[tuple[str, object]]:
                 yield f"{prefix}{k}", v
 
 
-def record_fields(df: DataFrame, body: str = "body", keys: Sequence[Sequence[str]] = (("i", "j", "k", "r"), ("row",))) -> DataFrame:
-    """(feed, record_kind, file_date, file_id, rec_key, field, type, value), one row per field of each record.
+MOST_FILES = 100_000  # files whose fields in question are sent to the tasks; of more, records are joined with them
+
+
+def record_fields(
+    df: DataFrame, body: str = "body", keys: Sequence[Sequence[str]] = (("i", "j", "k", "r"), ("row",)), only: DataFrame | None = None
+) -> DataFrame:
+    """(feed, record_kind, file_date, file_id, rec_key, field, type, value), one row per field of each record; with ``only`` (feed,
+    record_kind, file_id, fields) just of these files and fields.
 
     rec_key: the values of the first of ``keys`` of which the record has any, else null. Null, malformed or non-object bodies
     give no rows. A field name that stands twice in an object has its last value.
     """
     df = exact(df, [*FILE, body])
     ids = [F.col(c).cast("string").alias(c) for c in FILE]
+    rows = df.select(*ids, F.col(body).alias("_body"), F.lit(None).cast("array<string>").alias("fields"))
+    if only is not None:
+        some = F.broadcast(only) if only.count() <= MOST_FILES else only
+        rows = rows.drop("fields").join(some, [*GROUP, "file_id"]).select(*FILE, "_body", "fields")
     names = [*FILE, "rec_key", "field", "type", "value"]
     schema = pa.schema([pa.field(n, pa.string()) for n in names])
 
@@ -62,12 +72,14 @@ def record_fields(df: DataFrame, body: str = "body", keys: Sequence[Sequence[str
         for batch in batches:
             at: list[int] = []
             cols: list[list] = [[], [], [], []]
-            for n, text in enumerate(batch.column(len(FILE)).to_pylist()):
+            for n, (text, asked) in enumerate(zip(batch.column(len(FILE)).to_pylist(), batch.column(len(FILE) + 1).to_pylist(), strict=True)):
                 record = parse(text)
                 if not isinstance(record, dict):
                     continue
                 key = next((json_key([record.get(x) for x in k]) for k in keys if any(x in record for x in k)), None)
                 for field, v in leaves(record):
+                    if asked is not None and field not in asked:
+                        continue
                     at.append(n)
                     for c, x in zip(cols, (key, field, json_type(v), as_text(v)), strict=True):
                         c.append(x)
@@ -75,7 +87,7 @@ def record_fields(df: DataFrame, body: str = "body", keys: Sequence[Sequence[str
             yield pa.RecordBatch.from_arrays([*[batch.column(n).take(take) for n in range(len(FILE))], *[pa.array(c, pa.string()) for c in cols]], schema=schema)
 
     ddl = ", ".join(f"{n} string" for n in names)
-    return df.select(*ids, F.col(body)).mapInArrow(run, ddl)
+    return rows.mapInArrow(run, ddl)
 
 
 def json_key(values: list) -> str:
@@ -168,7 +180,8 @@ def schema_changes(df: DataFrame, body: str = "body", agree: float = 0.9, at_lea
     gaining = added.join(removed.select(*both).distinct(), both, "left_semi")
     asked = losing.select(*both, F.col("last_file").alias("in_file"), F.col("old_field").alias("field"), F.lit(True).alias("is_old"))
     asked = asked.unionByName(gaining.select(*both, F.col("file_id").alias("in_file"), F.col("new_field").alias("field"), F.lit(False).alias("is_old")))
-    values = record_fields(df, body).filter("value is not null and rec_key is not null")
+    wanted = cut(asked.groupBy(*GROUP, F.col("in_file").alias("file_id")).agg(F.collect_set("field").alias("fields")))
+    values = record_fields(df, body, only=wanted).filter("value is not null and rec_key is not null")
     values = values.select(*GROUP, F.col("file_id").alias("in_file"), "rec_key", "field", "value")
     hits = values.join(asked, [*GROUP, "in_file", "field"]).select(*both, "rec_key", "is_old", "field", "value").distinct()
     side = lambda old: F.collect_list(F.when(F.col("is_old") == old, F.struct("field", "value")))
