@@ -127,8 +127,9 @@ def quality_stats(fact: DataFrame, anomalies: DataFrame, sources: DataFrame) ->
     one = fact.agg(*[F.count_if(c).alias(m) for m, c in tests.items()], F.count_distinct(gone).alias("npis_not_registered"))
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n")) for m in one.columns]))
     scalar = one.select(pairs.alias("x")).select("x.metric", "x.n")
-    merged = sources.groupBy(F.lit(1)).agg(F.count(F.lit(1)).alias("before")).crossJoin(deduplicated(sources).agg(F.count(F.lit(1)).alias("after")))  # one row each
-    merged = merged.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), c.alias("n")) for m, c in (("rows_before_dedup", F.col("before")), ("rows_removed_by_dedup", F.col("before") - F.col("after")))])).alias("x")).select("x.*")
+    counted = lambda df, metric, sign=1: df.agg((F.count(F.lit(1)) * sign).alias("n")).select(F.lit(metric).alias("metric"), "n")
+    removed = counted(sources, "rows_removed_by_dedup").unionByName(counted(deduplicated(sources), "rows_removed_by_dedup", -1))
+    merged = counted(sources, "rows_before_dedup").unionByName(removed).groupBy("metric").agg(F.sum("n").alias("n"))
     clash = conflicts(fact).agg(F.count(F.lit(1)).alias("n")).select(F.lit("conflicting_keys").alias("metric"), "n")
     logged = anomalies.groupBy(F.concat_ws(":", F.lit("anomaly"), "step", "type").alias("metric")).agg(F.count(F.lit(1)).alias("n"))
     return scalar.unionByName(merged).unionByName(clash).unionByName(logged)
