@@ -83,7 +83,7 @@ def vocabulary(names: DataFrame, name: str = "name") -> Vocabulary:
             yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.string()), pa.array([len(texts), *found.values()], pa.int64())], names=["word", "n"])
 
     distinct = names.select(F.col(name).alias("name")).filter("name is not null").distinct()
-    counts = cut(distinct.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = cut(distinct.repartition(tasks(names), "name").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = counts.filter("word is null").first()
     if total is None:
         return PLAIN
