@@ -209,7 +209,8 @@ select record_kind, field, array_to_string(ts, ',') as types, case when list_con
        else 'string' end as promoted, n_files, n_values
 from (select record_kind, field, coalesce(list_sort(list(distinct t) filter (where t is not null)), []) as ts, count(distinct (feed, file_id)) as n_files, count(v) as n_values from typed group by 1, 2)"""
 _P2_CELLS = f"""{_FEED}, prom as (select record_kind, field, promoted from ({_P2_FIELDS}))
-select row_no, record_kind, replace(field, '.', '__') || case when lower(field) in ('row_no', 'feed', 'record_kind', 'file_id', 'file_date') then '_field' else '' end as field,
+select row_no, record_kind, replace(field, '.', '__') || case when lower(field) in ('row_no', 'feed', 'record_kind', 'file_id', 'file_date')
+  or exists (select 1 from prom q where q.record_kind = typed.record_kind and lower(q.field) = lower(typed.field) and q.field < typed.field) then '_field' else '' end as field,
 case when promoted = 'double' then v::double end as num, case when promoted in ('string', 'boolean') then v end as txt,
 case when promoted = 'array<string>' then case when json_type(x) = 'ARRAY' then json_array_length(x) else 1 end end::int as n_items
 from typed join prom using (record_kind, field) where json_type(x) <> 'NULL'"""
